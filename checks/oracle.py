@@ -27,8 +27,8 @@ OBT_18 = f"{_list(OBT_PLAIN)}, {rounded('estimated_distance log_estimated_distan
 OBT = f"{OBT_18}, pickup_year"
 
 SQL["split_overview"] = over_trips(
-    """SELECT split, trip_type, count(*) AS rows, round(avg(fare_amount), 6) AS mean_fare,
-       round(median(fare_amount), 6) AS median_fare
+    """SELECT split, trip_type, count(*) AS rows, round(avg(fare_amount), 9) AS mean_fare,
+       round(median(fare_amount), 9) AS median_fare
 FROM splits GROUP BY split, trip_type"""
 )
 SQL["canonical_union"] = over_trips(f"SELECT {CANONICAL} FROM canonical")
@@ -42,7 +42,7 @@ FROM (SELECT CASE WHEN passenger_count IS NULL THEN NULL WHEN vendor_id = 1 THEN
 GROUP BY 1, 2"""
 )
 SQL["staging_trips"] = over_trips(
-    f"SELECT {CANONICAL}, trip_duration_min, round(speed_mph, 6) AS speed_mph FROM staging"
+    f"SELECT {CANONICAL}, trip_duration_min, round(speed_mph, 9) AS speed_mph FROM staging"
 )
 CANDIDATE = """dropoff_datetime > pickup_datetime AND trip_distance > 0 AND passenger_count BETWEEN 1 AND 6
   AND pickup_location_id IS NOT NULL AND dropoff_location_id IS NOT NULL AND fare_amount > 0
@@ -55,8 +55,8 @@ SQL["candidate_from_text"] = over_trips(
 )
 SQL["trip_durations"] = over_trips(
     """SELECT date_diff('minute', pickup_datetime, dropoff_datetime)::BIGINT AS trip_duration_min, count(*) AS rows,
-       round(min(exact), 6) AS shortest, round(max(exact), 6) AS longest,
-       round(max(CASE WHEN seconds > 0 THEN trip_distance / (seconds / 3600.0::DOUBLE) END), 6) AS max_speed,
+       round(min(exact), 9) AS shortest, round(max(exact), 9) AS longest,
+       round(max(CASE WHEN seconds > 0 THEN trip_distance / (seconds / 3600.0::DOUBLE) END), 9) AS max_speed,
        count(CASE WHEN seconds > 0 THEN trip_distance / (seconds / 3600.0::DOUBLE) END) AS with_speed
 FROM (SELECT *, epoch(dropoff_datetime - pickup_datetime) / 60 AS exact,
              date_diff('second', pickup_datetime, dropoff_datetime) AS seconds FROM canonical)
@@ -70,18 +70,18 @@ SQL["feature_frame"] = over_trips(
        (isodow(pickup_datetime) >= 6)::INTEGER AS is_weekend,
        (hour(pickup_datetime) IN (7, 8, 9, 16, 17, 18, 19))::INTEGER AS is_rush_hour,
        (hour(pickup_datetime) NOT BETWEEN 6 AND 21)::INTEGER AS is_night,
-       passenger_count, round(estimated_distance, 6) AS estimated_distance,
-       round(ln(1 + estimated_distance), 6) AS log_estimated_distance,
+       passenger_count, round(estimated_distance, 9) AS estimated_distance,
+       round(ln(1 + estimated_distance), 9) AS log_estimated_distance,
        pickup_location_id, dropoff_location_id, vendor_id, ratecode_id,
        concat(pickup_location_id, '_', dropoff_location_id) AS route_id,
        (pickup_location_id = dropoff_location_id)::INTEGER AS same_zone
 FROM staging"""
 )
 RAW_FEATURES = (
-    "pickup_datetime, passenger_count, round(estimated_distance, 6) AS estimated_distance, pickup_location_id, "
+    "pickup_datetime, passenger_count, round(estimated_distance, 9) AS estimated_distance, pickup_location_id, "
     "dropoff_location_id, vendor_id, ratecode_id, trip_type"
 )
-SQL["features_with_target"] = over_trips(f"SELECT {RAW_FEATURES}, round(fare_amount, 6) AS fare_amount FROM obt")
+SQL["features_with_target"] = over_trips(f"SELECT {RAW_FEATURES}, round(fare_amount, 9) AS fare_amount FROM obt")
 SQL["time_splits"] = over_trips(f"SELECT {OBT}, split FROM splits")
 SQL["validation_split"] = over_trips(f"SELECT {OBT} FROM splits WHERE split = 'validation'")
 SQL["split_spans"] = over_trips(
@@ -205,7 +205,7 @@ SQL["retention_by_fleet"] = over_trips(
 FROM canonical GROUP BY trip_type"""
 )
 MEANS = ", ".join(
-    f"round(avg({name}), 6) AS {name}_mean" for name in ("fare_amount", "estimated_distance", "passenger_count")
+    f"round(avg({name}), 9) AS {name}_mean" for name in ("fare_amount", "estimated_distance", "passenger_count")
 )
 SQL["raw_against_candidate"] = over_trips(
     f"""SELECT 'raw' AS dataset, count(*) AS rows, {MEANS} FROM canonical
@@ -235,10 +235,10 @@ def described(columns: dict[str, str], points: list[float], source: str) -> str:
         return "p" + f"{point * 100:g}".replace(".", "_")
 
     return "\nUNION ALL ".join(
-        f"""SELECT '{column}' AS "column", count({expr}) AS count, round(avg({expr}), 6) AS mean,
-       round(stddev_samp({expr}), 6) AS std, round(min({expr})::DOUBLE, 6) AS min, round(max({expr})::DOUBLE, 6) AS max, """
+        f"""SELECT '{column}' AS "column", count({expr}) AS count, round(avg({expr}), 9) AS mean,
+       round(stddev_samp({expr}), 9) AS std, round(min({expr})::DOUBLE, 9) AS min, round(max({expr})::DOUBLE, 9) AS max, """
         + ", ".join(
-            f"round(quantile_cont(({expr})::DOUBLE, {point}), 6) AS {name(point)}" for point in points
+            f"round(quantile_cont(({expr})::DOUBLE, {point}), 9) AS {name(point)}" for point in points
         )
         + f" FROM {source}"
         for column, expr in columns.items()
@@ -279,10 +279,10 @@ SQL["year_fleet_coverage"] = over_trips(
 FROM canonical GROUP BY 1"""
 )
 SQL["target_comparison"] = over_trips(
-    """SELECT 'fare_amount' AS "column", round(avg(fare_amount), 6) AS mean, 1.0::DOUBLE AS correlation_with_fare,
-       round(median(fare_amount), 6) AS median FROM canonical
-UNION ALL SELECT 'total_amount', round(avg(total_amount), 6), round(corr(fare_amount, total_amount), 6),
-       round(median(total_amount), 6) FROM canonical"""
+    """SELECT 'fare_amount' AS "column", round(avg(fare_amount), 9) AS mean, 1.0::DOUBLE AS correlation_with_fare,
+       round(median(fare_amount), 9) AS median FROM canonical
+UNION ALL SELECT 'total_amount', round(avg(total_amount), 9), round(corr(fare_amount, total_amount), 9),
+       round(median(total_amount), 9) FROM canonical"""
 )
 SQL["correlation_matrix"] = over_trips(
     "\nUNION ALL ".join(
@@ -320,10 +320,10 @@ def histogram_query(columns: dict[str, str], bins: int, source: str, by: str = "
     same = f" AND e.{by} = h.{by}" if by else ""
     return over_trips(
         f"""SELECT {key}e.col AS "column", e.bin,
-       round(e.low + (e.high - e.low) / {bins} * e.bin, 6) AS bin_low,
-       round(e.low + (e.high - e.low) / {bins} * (e.bin + 1), 6) AS bin_high,
+       round(e.low + (e.high - e.low) / {bins} * e.bin, 9) AS bin_low,
+       round(e.low + (e.high - e.low) / {bins} * (e.bin + 1), 9) AS bin_high,
        coalesce(h.n, 0) AS rows,
-       round(coalesce(h.n, 0) / (e.total * ((e.high - e.low) / {bins})), 6) AS density
+       round(coalesce(h.n, 0) / (e.total * ((e.high - e.low) / {bins})), 9) AS density
 FROM every e LEFT JOIN hits h ON e.col = h.col AND e.bin = h.bin{same}""",
         histogram(columns, bins, source, by),
     )
@@ -355,10 +355,10 @@ SQL["trips_by_ratecode"] = over_trips("SELECT ratecode_id, count(*) AS rows FROM
 
 def box(column: str, by: str, source: str) -> str:
     return over_trips(
-        f"""SELECT t.{by}, count(*) AS rows, round(any_value(q1), 6) AS q1, round(any_value(m), 6) AS median,
-       round(any_value(q3), 6) AS q3,
-       round(min(v) FILTER (WHERE v >= q1 - (q3 - q1) * 1.5 AND v <= q3 + (q3 - q1) * 1.5), 6) AS whisker_low,
-       round(max(v) FILTER (WHERE v >= q1 - (q3 - q1) * 1.5 AND v <= q3 + (q3 - q1) * 1.5), 6) AS whisker_high,
+        f"""SELECT t.{by}, count(*) AS rows, round(any_value(q1), 9) AS q1, round(any_value(m), 9) AS median,
+       round(any_value(q3), 9) AS q3,
+       round(min(v) FILTER (WHERE v >= q1 - (q3 - q1) * 1.5 AND v <= q3 + (q3 - q1) * 1.5), 9) AS whisker_low,
+       round(max(v) FILTER (WHERE v >= q1 - (q3 - q1) * 1.5 AND v <= q3 + (q3 - q1) * 1.5), 9) AS whisker_high,
        count(*) FILTER (WHERE NOT (v >= q1 - (q3 - q1) * 1.5 AND v <= q3 + (q3 - q1) * 1.5)) AS outliers
 FROM (SELECT {by}, {column} AS v FROM {source}) t
 JOIN (SELECT {by}, quantile_cont({column}, 0.25) AS q1, quantile_cont({column}, 0.5) AS m,
@@ -434,7 +434,7 @@ WEIGHTS = """fleet AS (
          (SELECT sum(rows) FROM fleet)::DOUBLE / ((SELECT count(*) FROM fleet) * rows) AS weight FROM fleet
 )"""
 SQL["fleet_weights"] = over_trips(
-    "SELECT trip_type, rows, round(weight, 6) AS weight FROM weights", WEIGHTS
+    "SELECT trip_type, rows, round(weight, 9) AS weight FROM weights", WEIGHTS
 )
 SQL["row_weights"] = over_trips(
     """SELECT split, s.trip_type, round(sum(weight), 6) AS weight, count(*) AS rows
@@ -489,7 +489,7 @@ SQL["zone_facts"] = over_trips(
     """SELECT p.borough AS pickup_borough, d.borough AS dropoff_borough,
        (p.service_zone IN ('Airports', 'EWR'))::INTEGER AS pickup_is_airport,
        (d.service_zone IN ('Airports', 'EWR'))::INTEGER AS dropoff_is_airport,
-       count(*) AS rows, round(avg(fare_amount), 6) AS mean_fare
+       count(*) AS rows, round(avg(fare_amount), 9) AS mean_fare
 FROM obt o LEFT JOIN zones p ON o.pickup_location_id = p.location_id
 LEFT JOIN zones d ON o.dropoff_location_id = d.location_id GROUP BY 1, 2, 3, 4"""
 )
@@ -535,7 +535,7 @@ FROM canonical GROUP BY ALL"""
 SQL["route_counts"] = over_trips(
     """SELECT pickup_location_id || '_' || dropoff_location_id AS route_id,
        (pickup_location_id = dropoff_location_id)::INTEGER AS same_zone, count(*) AS rows,
-       round(sum(ln(1 + estimated_distance)), 6) AS log_distance
+       round(sum(ln(1 + estimated_distance)), 9) AS log_distance
 FROM canonical GROUP BY 1, 2"""
 )
 SQL["parsed_text"] = over_trips(
@@ -546,3 +546,51 @@ FROM (SELECT CASE WHEN ratecode_id = 99 THEN 'x1' ELSE payment_type::VARCHAR END
       FROM canonical)
 GROUP BY 1"""
 )
+
+# ---- files, audit, tables ----
+
+MONTHLY = """monthly AS (
+  SELECT trip_type || '_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.parquet' AS file_name, trip_type,
+         strftime(pickup_datetime, '%Y-%m') AS period_label, count(*) AS rows,
+         min(pickup_datetime) AS first_pickup, max(pickup_datetime) AS last_pickup
+  FROM canonical GROUP BY ALL
+), expected AS (
+  SELECT f.trip_type, strftime(m, '%Y-%m') AS period_label,
+         f.trip_type || '_tripdata_' || strftime(m, '%Y-%m') || '.parquet' AS file_name
+  FROM (SELECT unnest(['yellow', 'green']) AS trip_type) f,
+       (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-01', INTERVAL 1 MONTH)) AS m)
+)"""
+SQL["month_files"] = over_trips(
+    """SELECT e.file_name, e.trip_type, e.period_label, coalesce(m.rows, 0) AS rows
+FROM expected e LEFT JOIN monthly m ON e.file_name = m.file_name""",
+    MONTHLY,
+)
+SQL["loaded_raw"] = SQL["streamed_raw"] = SQL["canonical_union"]
+SQL["load_audit"] = over_trips(
+    """SELECT file_name, trip_type, period_label, 'COPIED' AS copy_status, rows AS rows_loaded FROM monthly""",
+    MONTHLY,
+)
+SQL["audit_upsert"] = over_trips(
+    """SELECT file_name, CASE WHEN rows > 300 THEN 'COPIED' ELSE 'STAGED_ONLY' END AS copy_status,
+       CASE WHEN rows > 300 THEN rows ELSE 0 END AS rows_loaded,
+       CASE WHEN rows > 300 THEN last_pickup ELSE first_pickup END AS loaded_at
+FROM monthly""",
+    MONTHLY,
+)
+SQL["files_to_load"] = over_trips(
+    """SELECT file_name, trip_type, period_label FROM expected
+WHERE file_name NOT IN (SELECT file_name FROM monthly WHERE rows > 300)""",
+    MONTHLY,
+)
+SQL["zone_file"] = over_trips("SELECT location_id, borough, zone, service_zone FROM zones")
+SQL["stored_layers"] = over_trips(
+    """SELECT 'staging' AS layer, true AS present, count(*) AS rows FROM staging
+UNION ALL SELECT 'obt', true, count(*) FROM obt
+UNION ALL SELECT split, true, count(*) FROM splits GROUP BY split
+UNION ALL SELECT 'scored', false, 0"""
+)
+SQL["stored_obt"] = SQL["obt_trips"]
+SQL["fleet_probe"] = over_trips(
+    """SELECT trip_type AS fleet, true AS present, count(*) AS rows FROM canonical GROUP BY trip_type
+UNION ALL SELECT 'blue', false, 0"""
+)

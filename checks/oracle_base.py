@@ -87,5 +87,5 @@ def over_trips(body: str, *extra: str) -> str:
     return "WITH " + ",".join([TRIPS, *extra]) + "\n" + body
 
 
-def rounded(columns: str, digits: int = 6) -> str:
+def rounded(columns: str, digits: int = 9) -> str:
     return ", ".join(f"round({name}, {digits}) AS {name}" for name in columns.split())

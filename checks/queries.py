@@ -14,6 +14,11 @@ from faremill.functions.rules import within_days
 from faremill.operators import cleaning, features, lookups, reports, requests, sampling, splits
 from faremill.operators.canonical import canonical_trips, normalise_frame
 from faremill.operators.quantiles import exact_percentiles
+from faremill.plans.layers import build_layers
+from faremill.session import new_folder
+from faremill.sources import audit, months, raw_files, tables
+from faremill.sources import zones as zone_source
+from faremill.streaming import arrivals
 
 SEED = SETTINGS.eda_sample_seed
 REGISTERED: dict[str, object] = {}
@@ -24,7 +29,7 @@ def registered(query):
     return query
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
     """Doubles to a fixed number of places, so that summation order does not show."""
     return df.select(
         *[
@@ -386,7 +391,8 @@ def row_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = reports.fleet_weight_map(rows.filter(F.col("split") == "train"))
     weighted = reports.with_fleet_weight(rows, weights)
     return rounded(
-        weighted.groupBy("split", "trip_type").agg(F.sum("weight").alias("weight"), F.count("*").alias("rows"))
+        weighted.groupBy("split", "trip_type").agg(F.sum("weight").alias("weight"), F.count("*").alias("rows")),
+        6,
     )
 
 
@@ -528,3 +534,136 @@ def parsed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.groupBy("number").agg(
         F.count("*").alias("rows"), F.count("time").alias("times"), F.min("time").alias("first_time")
     )
+
+
+# ---- files, audit, tables ----
+
+
+def _landing(spark: SparkSession, sf_dir: str) -> str:
+    """The raw trips as monthly files, the way they arrive."""
+    root = new_folder(spark, "landing")
+    for fleet, rows in raw(spark, sf_dir).items():
+        month = F.col("tpep_pickup_datetime" if fleet == "yellow" else "lpep_pickup_datetime")
+        named = rows.withColumn("file", months.file_name(F.lit(fleet), month))
+        # One file per month; months are spread over the tasks, a heavy one over several.
+        named.repartition("file", F.pmod(F.hash("vendorid", month), F.lit(4))).write.partitionBy("file").parquet(
+            f"{root}/{fleet}"
+        )
+    return root
+
+
+@registered
+def month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expected monthly files and how many raw trips each month holds."""
+    month = F.date_trunc("MONTH", "pickup_datetime")
+    held = (
+        canonical(spark, sf_dir)
+        .groupBy(months.file_name(F.col("trip_type"), month).alias("file_name"))
+        .agg(F.count("*").alias("rows"))
+    )
+    return months.month_files(spark, SETTINGS).join(held, "file_name", "left").na.fill(0, ["rows"])
+
+
+@registered
+def loaded_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly files loaded into the raw table, twice: the second load finds nothing to do."""
+    landing, root = _landing(spark, sf_dir), new_folder(spark, "loaded")
+    loaded = {}
+    for fleet in FLEETS:
+        for _ in range(2):
+            raw_files.load_trip_files(spark, landing, f"{root}/{fleet}", f"{root}/audit", fleet)
+        loaded[fleet] = raw_files.read_raw(spark, f"{root}/{fleet}", fleet)
+    return rounded(canonical_trips(loaded, SETTINGS))
+
+
+@registered
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit after two loads, the second of which repeats every file."""
+    landing, root = _landing(spark, sf_dir), new_folder(spark, "audited")
+    for fleet in FLEETS:
+        for again in (False, True):
+            raw_files.load_trip_files(spark, landing, f"{root}/{fleet}", f"{root}/audit", fleet, again)
+    return audit.current_audit(spark, f"{root}/audit").select(
+        "file_name", "trip_type", "period_label", "copy_status", "rows_loaded"
+    )
+
+
+@registered
+def streamed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same raw table out of the file stream."""
+    landing, root = _landing(spark, sf_dir), new_folder(spark, "streamed")
+    loaded = {}
+    for fleet in FLEETS:
+        arrivals.stream_trip_files(
+            spark, f"{landing}/{fleet}/*", f"{root}/{fleet}", f"{root}/audit", f"{root}/seen-{fleet}", fleet
+        ).awaitTermination()
+        loaded[fleet] = raw_files.read_raw(spark, f"{root}/{fleet}", fleet)
+    return rounded(canonical_trips(loaded, SETTINGS))
+
+
+def _audit_rounds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two rounds of audit rows per month: first staged, then copied where it has over 300 trips."""
+    month = F.date_trunc("MONTH", "pickup_datetime")
+    name = months.file_name(F.col("trip_type"), month).alias("file_name")
+    per_file = canonical(spark, sf_dir).groupBy("trip_type", name).agg(
+        F.count("*").alias("rows"), F.min("pickup_datetime").alias("first"), F.max("pickup_datetime").alias("last")
+    )
+    first = per_file.select(
+        "file_name", F.lit(audit.STAGED_ONLY).alias("copy_status"), F.lit(0).cast("bigint").alias("rows_loaded"),
+        F.col("first").alias("loaded_at"),
+    )
+    second = per_file.filter(F.col("rows") > 300).select(
+        "file_name", F.lit(audit.COPIED).alias("copy_status"), F.col("rows").alias("rows_loaded"),
+        F.col("last").alias("loaded_at"),
+    )
+    return first, second
+
+
+@registered
+def audit_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = _audit_rounds(spark, sf_dir)
+    return audit.upsert(first, second, "file_name", "loaded_at")
+
+
+@registered
+def files_to_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = _audit_rounds(spark, sf_dir)
+    current = audit.upsert(first, second, "file_name", "loaded_at")
+    return audit.not_yet_loaded(months.month_files(spark, SETTINGS), current)
+
+
+@registered
+def zone_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone dimension written as quoted CSV and read back."""
+    path = new_folder(spark, "zones")
+    zones(spark, sf_dir).write.option("header", "true").option("quoteAll", "true").csv(path)
+    return zone_source.read_zones(spark, path)
+
+
+@registered
+def stored_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layers written as tables: which exist, and how many rows they hold."""
+    root = new_folder(spark, "layers")
+    build_layers(raw(spark, sf_dir), SETTINGS, root, store_splits=True)
+    names = ["staging", "obt", "train", "validation", "test", "scored"]
+    counts = tables.table_counts(spark, {name: f"{root}/{name}" for name in names})
+    listed = [(name, counts[name] is not None, counts[name] or 0) for name in names]
+    return spark.createDataFrame(listed, "layer string, present boolean, rows bigint")
+
+
+@registered
+def stored_obt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The modelling table as stored, partitioned by pickup year."""
+    root = new_folder(spark, "layers")
+    return rounded(build_layers(raw(spark, sf_dir), SETTINGS, root)["obt"])
+
+
+@registered
+def fleet_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existence and count probes per fleet, and for a fleet that has no trips."""
+    rows = canonical(spark, sf_dir)
+    probes = []
+    for fleet in (*FLEETS, "blue"):
+        found = rows.filter(F.col("trip_type") == fleet)
+        probes.append((fleet, tables.has_rows(found), found.count()))
+    return spark.createDataFrame(probes, "fleet string, present boolean, rows bigint")
