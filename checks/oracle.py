@@ -594,3 +594,118 @@ SQL["fleet_probe"] = over_trips(
     """SELECT trip_type AS fleet, true AS present, count(*) AS rows FROM canonical GROUP BY trip_type
 UNION ALL SELECT 'blue', false, 0"""
 )
+
+# ---- preprocessing ----
+
+RAW_NUMERIC = {
+    **{name: STAGED_FEATURE[name] for name in ("pickup_year", "pickup_hour", "pickup_month")},
+    "pickup_dayofweek": "isodow(pickup_datetime) - 1",
+    **{name: f"({STAGED_FEATURE[name]})::INTEGER" for name in ("is_weekend", "is_rush_hour", "is_night", "same_zone")},
+    "passenger_count": "passenger_count",
+    "estimated_distance": "estimated_distance",
+    "log_estimated_distance": "ln(1 + estimated_distance)",
+}
+SQL["numeric_preprocessing"] = over_trips(
+    "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS "column", round(any_value(m), 9) AS median,
+       round(avg(coalesce(x, m)), 9) AS mean, round(stddev_pop(coalesce(x, m)), 9) AS std
+FROM (SELECT x, quantile_cont(x, 0.5) OVER () AS m FROM (SELECT ({expr})::DOUBLE AS x FROM canonical))"""
+        for name, expr in RAW_NUMERIC.items()
+    )
+)
+RAW_CATEGORIES = {
+    **{name: name for name in ("trip_type", "pickup_location_id", "dropoff_location_id", "vendor_id", "ratecode_id")},
+    "route_id": "pickup_location_id || '_' || dropoff_location_id",
+}
+SQL["category_preprocessing"] = over_trips(
+    "\nUNION ALL ".join(
+        f"""SELECT * FROM (SELECT '{name}' AS "column", x::VARCHAR AS most_frequent, count(*) OVER () AS levels
+FROM (SELECT {expr} AS x, count(*) AS n FROM canonical GROUP BY 1) WHERE x IS NOT NULL ORDER BY n DESC, x LIMIT 1)"""
+        for name, expr in RAW_CATEGORIES.items()
+    )
+)
+CATEGORIES = list(RAW_CATEGORIES)
+SQL["feature_matrix_shape"] = over_trips(
+    "SELECT count(*) AS rows, 11 + "
+    + " + ".join(f"count(DISTINCT {name})" for name in CATEGORIES)
+    + " AS columns FROM splits WHERE split = 'train'"
+)
+SQL["unseen_categories"] = over_trips(
+    "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS "column", (SELECT count(DISTINCT {name}) FROM obt WHERE trip_type = 'green') AS levels,
+       count(*) FILTER (WHERE {name} NOT IN (SELECT {name} FROM obt WHERE trip_type = 'green')) AS unseen_rows
+FROM obt WHERE trip_type = 'yellow'"""
+        for name in ("trip_type", "pickup_location_id", "dropoff_location_id", "route_id")
+    )
+)
+
+# ---- metrics on fixed predictors ----
+
+
+def metric_columns(guess: str, digits: int = 9) -> str:
+    error = f"(fare_amount - ({guess}))"
+    return f"""count(*) AS rows, round(sqrt(avg({error} * {error})), {digits}) AS rmse,
+       round(avg(abs({error})), {digits}) AS mae,
+       round(avg(abs({error}) / greatest(abs(fare_amount), 1e-8)) * 100, {digits}) AS mape,
+       round(1 - avg({error} * {error}) / CASE WHEN var_pop(fare_amount) > 0 THEN var_pop(fare_amount) ELSE 1 END, {digits}) AS r2"""
+
+
+def middle_error(guess: str) -> str:
+    return f"round(median(abs(fare_amount - ({guess}))), 9) AS med_ae"
+
+
+RATE = "3.0::DOUBLE + 2.5::DOUBLE * estimated_distance"
+HELD_OUT = "splits WHERE split <> 'train'"
+SQL["fixed_rate_metrics"] = over_trips(
+    f"SELECT split, {metric_columns(RATE)}, {middle_error(RATE)} FROM {HELD_OUT} GROUP BY split"
+)
+SQL["overall_metrics"] = over_trips(f"SELECT {metric_columns(RATE)}, {middle_error(RATE)} FROM {HELD_OUT}")
+SQL["metrics_by_month"] = over_trips(
+    f"""SELECT CAST(date_trunc('month', pickup_datetime) AS DATE) AS window_start, trip_type, {metric_columns(RATE)},
+       {middle_error(RATE)} FROM splits WHERE split = 'validation' GROUP BY 1, 2"""
+)
+SQL["metrics_by_week"] = over_trips(
+    f"""SELECT DATE '2001-01-01' + ((CAST(pickup_datetime AS DATE) - DATE '2001-01-01') // 7 * 7)::INTEGER AS window_start,
+       {metric_columns(RATE)}, {middle_error(RATE)} FROM splits WHERE split = 'test' GROUP BY 1"""
+)
+SQL["fleet_metrics_with_total"] = over_trips(
+    f"SELECT trip_type, {metric_columns(RATE)} FROM {HELD_OUT} GROUP BY ROLLUP (trip_type)"
+)
+MEAN = "train_mean AS (SELECT avg(fare_amount) AS mean_fare FROM splits WHERE split = 'train')"
+SQL["mean_baseline"] = over_trips(
+    f"""SELECT split, {metric_columns("mean_fare")}, {middle_error("mean_fare")}
+FROM (SELECT * FROM {HELD_OUT}), train_mean GROUP BY split""",
+    MEAN,
+)
+RUNS = MEAN + """, code_mean AS (
+  SELECT ratecode_id AS code, avg(fare_amount) AS code_fare FROM splits WHERE split = 'train' GROUP BY ratecode_id
+), guesses AS (
+  SELECT split, fare_amount, mean_fare, code_fare, 2.5::DOUBLE + 3.0::DOUBLE * estimated_distance AS mile_fare
+  FROM splits JOIN code_mean ON ratecode_id = code, train_mean
+), runs AS (""" + " UNION ALL ".join(
+    f"""SELECT '{name}' AS model, {run}::BIGINT AS run, count(*) FILTER (WHERE split = 'train') AS sample_rows,
+  sqrt(avg((fare_amount - {guess}) ** 2) FILTER (WHERE split = 'validation')) AS val_rmse,
+  sqrt(avg((fare_amount - {guess}) ** 2) FILTER (WHERE split = 'test')) AS test_rmse,
+  'v4_multi_taxi_year_estimated_distance' AS contract_version FROM guesses"""
+    for name, run, guess in (("mean", 1, "mean_fare"), ("ratecode_mean", 1, "code_fare"), ("per_mile", 2, "mile_fare"))
+) + ")"
+RUN_COLUMNS = f"model, run, sample_rows, contract_version, {rounded('val_rmse test_rmse')}"
+SQL["run_ledger"] = over_trips(f"SELECT {RUN_COLUMNS} FROM runs", RUNS)
+SQL["model_comparison"] = over_trips(
+    f"SELECT {RUN_COLUMNS}, round(test_rmse - val_rmse, 9) AS gap FROM runs", RUNS
+)
+SQL["best_models"] = over_trips(
+    """SELECT arg_min(model, val_rmse) AS best_by_validation, arg_min(model, abs(test_rmse - val_rmse)) AS best_by_gap
+FROM runs""",
+    RUNS,
+)
+
+# ---- scoring ----
+
+SCORED = f"{RAW_FEATURES}, round({RATE}, 2) AS estimated_fare_amount"
+SQL["scored_trips"] = over_trips(
+    f"""SELECT {SCORED} FROM canonical
+WHERE pickup_location_id IS NOT NULL AND passenger_count IS NOT NULL AND ratecode_id <= 6"""
+)
+SQL["scored_raw_names"] = over_trips(f"SELECT {SCORED} FROM canonical WHERE trip_type = 'yellow'")
+SQL["scored_stream"] = over_trips(f"SELECT {SCORED} FROM obt")

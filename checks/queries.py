@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.trips import SETTINGS, canonical, obt_rows, raw, staged, zones
-from faremill.contract import DISTANCE, FLEETS, NUMERIC_FEATURES, OBT_COLUMNS, RAW_FEATURES, TARGET
+from faremill.contract import CONTRACT_VERSION, DISTANCE, FLEETS, NUMERIC_FEATURES, OBT_COLUMNS, RAW_FEATURES, TARGET
 from faremill.functions import trip as fn
 from faremill.functions.rules import within_days
-from faremill.operators import cleaning, features, lookups, reports, requests, sampling, splits
+from faremill.operators import cleaning, features, learners, lookups, metrics, preprocess, reports, requests, sampling, splits
 from faremill.operators.canonical import canonical_trips, normalise_frame
 from faremill.operators.quantiles import exact_percentiles
+from faremill.plans import scoring, training
 from faremill.plans.layers import build_layers
 from faremill.session import new_folder
-from faremill.sources import audit, months, raw_files, tables
+from faremill.sources import audit, ledger, months, raw_files, tables
 from faremill.sources import zones as zone_source
 from faremill.streaming import arrivals
 
@@ -667,3 +670,283 @@ def fleet_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = rows.filter(F.col("trip_type") == fleet)
         probes.append((fleet, tables.has_rows(found), found.count()))
     return spark.createDataFrame(probes, "fleet string, present boolean, rows bigint")
+
+
+# ---- preprocessing ----
+
+
+@registered
+def numeric_preprocessing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill value, mean and population std per numeric feature, on raw trips with gaps."""
+    return rounded(preprocess.numeric_statistics(features.with_trip_features(canonical(spark, sf_dir))))
+
+
+@registered
+def category_preprocessing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preprocess.category_statistics(features.with_trip_features(canonical(spark, sf_dir)))
+
+
+def _train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.split(obt_rows(spark, sf_dir), "train", SETTINGS)
+
+
+@registered
+def feature_matrix_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and columns of the encoded training matrix."""
+    train = _train(spark, sf_dir)
+    vectors = preprocess.to_vectors(preprocess.fit_preprocessor(train), train)
+    size = F.max(F.size(vector_to_array("features"))).cast("bigint")
+    return vectors.agg(F.count("*").alias("rows"), size.alias("columns"))
+
+
+@registered
+def unseen_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoder fitted on green trips: levels known, and yellow trips whose value it has not seen."""
+    rows = obt_rows(spark, sf_dir)
+    fitted = preprocess.fit_preprocessor(rows.filter(F.col("trip_type") == "green"))
+    encoded = fitted.transform(rows.filter(F.col("trip_type") == "yellow"))
+    names = ("trip_type", "pickup_location_id", "dropoff_location_id", "route_id")
+    cells = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.count_if(F.array_max(vector_to_array(f"{name}_hot")) == 0).alias("unseen_rows"),
+            F.max(F.size(vector_to_array(f"{name}_hot"))).cast("bigint").alias("levels"),
+        )
+        for name in names
+    ]
+    return encoded.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
+# ---- metrics on fixed predictors ----
+
+
+def fixed_rate() -> Column:
+    return F.lit(3.0) + F.lit(2.5) * F.col(DISTANCE)
+
+
+class FixedRate:
+    """A predictor without training: three dollars and 2.50 a mile."""
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("prediction", fixed_rate())
+
+
+def _held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.with_split(obt_rows(spark, sf_dir), SETTINGS).filter(F.col("split") != "train")
+
+
+@registered
+def fixed_rate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = FixedRate().transform(_held_out(spark, sf_dir))
+    return rounded(metrics.regression_metrics(rows, by=["split"]))
+
+
+@registered
+def overall_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(metrics.regression_metrics(FixedRate().transform(_held_out(spark, sf_dir))))
+
+
+@registered
+def metrics_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics per evaluation window and fleet of the validation split."""
+    first, last = SETTINGS.split_ranges["validation"]
+    rows = splits.split(obt_rows(spark, sf_dir), "validation", SETTINGS)
+    rows = splits.with_window(FixedRate().transform(rows), first, last, "month")
+    return rounded(metrics.regression_metrics(rows, by=["window_start", "trip_type"]))
+
+
+@registered
+def metrics_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, last = SETTINGS.split_ranges["test"]
+    rows = splits.split(obt_rows(spark, sf_dir), "test", SETTINGS)
+    rows = splits.with_window(FixedRate().transform(rows), first, last, "week")
+    return rounded(metrics.regression_metrics(rows, by=["window_start"]))
+
+
+@registered
+def fleet_metrics_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(metrics.total_and_parts(FixedRate().transform(_held_out(spark, sf_dir)), "trip_type"))
+
+
+@registered
+def mean_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = learners.fit_mean(_train(spark, sf_dir))
+    return rounded(metrics.regression_metrics(model.transform(_held_out(spark, sf_dir)), by=["split"]))
+
+
+def _closed_form_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three predictors that need no learner, as ledger rows; the per-mile one is run twice."""
+    rows = splits.with_split(obt_rows(spark, sf_dir), SETTINGS)
+    train = rows.filter(F.col("split") == "train")
+    mean = learners.fit_mean(train).mean
+    by_code = train.groupBy("ratecode_id").agg(F.avg(TARGET).alias("code_mean"))  # six rate codes
+    guesses = {
+        ("mean", 1): F.lit(mean),
+        ("ratecode_mean", 1): F.col("code_mean"),
+        ("per_mile", 1): fixed_rate(),
+        ("per_mile", 2): F.lit(2.5) + F.lit(3.0) * F.col(DISTANCE),
+    }
+
+    def rmse(part: str, guess: Column) -> Column:
+        error = F.when(F.col("split") == part, F.col(TARGET) - guess)
+        return F.sqrt(F.avg(error * error))
+
+    line = rows.join(F.broadcast(by_code), "ratecode_id").agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("model"),
+                    F.lit(run).cast("bigint").alias("run"),
+                    F.count_if(F.col("split") == "train").alias("sample_rows"),
+                    rmse("validation", guess).alias("val_rmse"),
+                    rmse("test", guess).alias("test_rmse"),
+                    F.lit(CONTRACT_VERSION).alias("contract_version"),
+                )
+                for (name, run), guess in guesses.items()
+            ]
+        ).alias("runs")
+    )
+    return line.select(F.inline("runs"))
+
+
+@registered
+def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs appended to the ledger file one after the other; the last run of each model counts."""
+    path = new_folder(spark, "ledger")
+    runs = _closed_form_runs(spark, sf_dir)
+    for run in (1, 2):
+        ledger.append_runs(runs.filter(F.col("run") == run), path)
+    return rounded(ledger.latest_runs(ledger.read_runs(spark, path)))
+
+
+@registered
+def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(metrics.compare_models(ledger.latest_runs(_closed_form_runs(spark, sf_dir))))
+
+
+@registered
+def best_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.best_models(ledger.latest_runs(_closed_form_runs(spark, sf_dir)))
+
+
+# ---- scoring ----
+
+
+@registered
+def scored_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All valid requests scored with the fixed rate."""
+    trips = canonical(spark, sf_dir).select(*RAW_FEATURES)
+    return rounded(scoring.score_requests(FixedRate(), trips))
+
+
+@registered
+def scored_raw_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring straight from raw column names, without a fleet column."""
+    yellow = raw(spark, sf_dir)["yellow"].select(
+        "vendorid", "tpep_pickup_datetime", "passenger_count", "trip_distance", "ratecodeid", "pulocationid",
+        "dolocationid",
+    )
+    return rounded(scoring.score(FixedRate(), yellow))
+
+
+@registered
+def scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips of the modelling table scored as a stream of files."""
+    root = new_folder(spark, "stream")
+    obt_rows(spark, sf_dir).select(*RAW_FEATURES).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).parquet(f"{root}/in")
+    scoring.score_stream(FixedRate(), stream, f"{root}/out", f"{root}/seen").awaitTermination()
+    return rounded(spark.read.parquet(f"{root}/out"))
+
+
+# ---- learners: trained on the whole training split, measured on the others ----
+
+ROUNDS = 5  # trees per ensemble here; the catalog itself names the full numbers
+_preprocessors: dict[tuple[str, str, int], PipelineModel] = {}
+
+
+def _preprocessor(spark: SparkSession, sf_dir: str, preset: learners.Preset) -> PipelineModel:
+    key = (spark.sparkContext.applicationId, sf_dir, preset.nominal_levels)
+    if key not in _preprocessors:
+        _preprocessors[key] = preprocess.fit_preprocessor(_train(spark, sf_dir), preset.nominal_levels)
+    return _preprocessors[key]
+
+
+def _errors(name: str, scored: DataFrame) -> DataFrame:
+    error = F.col(TARGET) - F.col("prediction")
+    return scored.groupBy("split").agg(
+        F.lit(name).alias("model"),
+        F.count("*").alias("rows"),
+        F.sqrt(F.avg(error * error)).alias("rmse"),
+        F.avg(F.abs(error)).alias("mae"),
+        F.stddev_pop(TARGET).alias("target_std"),
+    )
+
+
+def _learner(name: str, **sizes: float):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        preset = learners.CATALOG[name]
+        preset = replace(preset, settings={**preset.settings, **sizes})
+        trained = training.train(_train(spark, sf_dir), preset, _preprocessor(spark, sf_dir, preset))
+        return _errors(name, trained.predict(_held_out(spark, sf_dir), "split", TARGET))
+
+    query.__name__ = f"learner_{name}"
+    return registered(query)
+
+
+for _name in ("ridge_regressor", "sgd_regressor"):
+    _learner(_name)
+for _name in (
+    "random_forest",
+    "gradient_boosting",
+    "hist_gradient_boosting",
+    "bagging",
+    "pasting",
+    "xgboost",
+    "lightgbm",
+    "catboost",
+    "adaboost",
+):
+    _learner(_name, rounds=ROUNDS)
+_learner("voting", rounds=2)
+
+
+@registered
+def continued_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosting carried on from year and fleet to the next year and fleet."""
+    preset = learners.CATALOG["xgboost"].sized(10)
+    fitted = _preprocessor(spark, sf_dir, preset)
+    rows = preprocess.to_vectors(fitted, _train(spark, sf_dir), TARGET, "pickup_year", "trip_type").persist()
+    strata = [
+        (F.col("pickup_year") == year) & (F.col("trip_type") == fleet)
+        for year in range(SETTINGS.data_start.year, SETTINGS.train_end.year + 1)
+        for fleet in SETTINGS.fleets
+    ]
+    model = learners.fit_residual_chain(rows, preset, strata)
+    rows.unpersist()
+    held_out = preprocess.to_vectors(fitted, _held_out(spark, sf_dir), "split", TARGET)
+    return _errors("continued_boosting", model.transform(held_out))
+
+
+@registered
+def model_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog entries side by side, best validation error first."""
+    presets = [
+        learners.CATALOG["dummy_regressor"],
+        learners.CATALOG["sgd_regressor"],
+        learners.CATALOG["xgboost"].sized(ROUNDS),
+    ]
+    return training.benchmark(obt_rows(spark, sf_dir), SETTINGS, presets)
+
+
+@registered
+def production_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train, evaluate, store and reload the production model; its facts and its scores' mean."""
+    root = new_folder(spark, "production")
+    rows = obt_rows(spark, sf_dir)
+    settings = replace(SETTINGS, train_sample_limit=rows.count())
+    training.train_production(rows, settings, root, learners.CATALOG["xgboost"].sized(ROUNDS))
+    scored = scoring.score(training.load_model(f"{root}/model"), splits.split(rows, "test", SETTINGS).select(*RAW_FEATURES))
+    return training.model_facts(spark, root).withColumn(
+        "mean_score", F.lit(scored.agg(F.avg("estimated_fare_amount")).first()[0])
+    )

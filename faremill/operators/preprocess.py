@@ -8,53 +8,45 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faremill.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from faremill.functions.trip import number
 from faremill.operators.features import with_trip_features
-from faremill.operators.quantiles import long_values, medians
+from faremill.operators.quantiles import medians
 
 FEATURES = "features"
 
 
 def numeric_statistics(features: DataFrame) -> DataFrame:
     """Per numeric feature: the median that fills gaps, then mean and population std of the filled values."""
-    middle = medians(features, list(NUMERIC_FEATURES))
-    sums = (
-        long_values(features, list(NUMERIC_FEATURES))
-        .groupBy("column")
-        .agg(
-            F.count("value").alias("present"),
-            F.avg("value").alias("avg"),
-            F.var_pop("value").alias("var"),
-        )
+    names = list(NUMERIC_FEATURES)
+    values = {name: number(F.col(name)) for name in names}
+    row = features.agg(
+        F.count("*").alias("_rows"),
+        *[
+            F.struct(F.count(value).alias("n"), F.avg(value).alias("avg"), F.var_pop(value).alias("var")).alias(name)
+            for name, value in values.items()
+        ],
     )
-    total = Window.partitionBy()  # over one row per feature
-    # Gaps filled with one value shift mean and variance in closed form; no second pass is needed.
-    gaps = F.max("rows").over(total) - F.col("present")
-    stats = (
-        sums.unionByName(
-            features.agg(F.count("*").alias("rows")).select(
-                F.lit(None).cast("string").alias("column"),
-                F.lit(None).cast("bigint").alias("present"),
-                F.lit(None).cast("double").alias("avg"),
-                F.lit(None).cast("double").alias("var"),
-                "rows",
-            ),
-            allowMissingColumns=True,
+    cells = [
+        F.struct(
+            F.lit(name).alias("column"),
+            (1 - F.col(f"{name}.n") / F.col("_rows")).alias("gaps"),
+            F.col(f"{name}.avg").alias("avg"),
+            F.col(f"{name}.var").alias("var"),
         )
-        .withColumn("gaps", gaps)
-        .filter(F.col("column").isNotNull())
-        .join(F.broadcast(middle), "column")
-    )
-    share = F.col("gaps") / (F.col("gaps") + F.col("present"))
-    apart = F.col("median") - F.col("avg")
+        for name in names
+    ]
+    stats = row.select(F.inline(F.array(*cells))).join(F.broadcast(medians(features, values)), "column")
+    # Filling a share of the rows with one value moves mean and variance in closed form.
+    gaps, apart = F.col("gaps"), F.col("median") - F.col("avg")
     return stats.select(
         "column",
         "median",
-        (F.col("avg") + share * apart).alias("mean"),
-        F.sqrt((1 - share) * F.col("var") + share * (1 - share) * apart * apart).alias("std"),
+        (F.col("avg") + gaps * apart).alias("mean"),
+        F.sqrt((1 - gaps) * F.col("var") + gaps * (1 - gaps) * apart * apart).alias("std"),
     )
 
 
