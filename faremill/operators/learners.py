@@ -134,8 +134,8 @@ def _mean(predictions: list[Column]) -> Column:
     return sum(predictions[1:], predictions[0]) / len(predictions)
 
 
-def _sum(predictions: list[Column]) -> Column:
-    return sum(predictions[1:], predictions[0])
+def _damped_sum(share: float) -> Callable[[list[Column]], Column]:
+    return lambda predictions: sum([p * share for p in predictions[1:]], predictions[0])
 
 
 def _weighted_median(weights: Sequence[float]) -> Callable[[list[Column]], Column]:
@@ -260,15 +260,20 @@ def fit_adaboost(df: DataFrame, preset: Preset, target: str = TARGET, weight: st
 def fit_residual_chain(
     df: DataFrame, preset: Preset, strata: Iterable[Column], target: str = TARGET, weight: str | None = None
 ) -> Combined:
-    """Continued boosting: every stratum in turn fits its share of the rounds to what is left over."""
+    """Continued boosting: every stratum in turn fits its share of the rounds to what is left over.
+
+    A Spark stage starts with one tree at full weight. Later stages are therefore damped to the
+    part of the rest that their rounds remove at the learning rate.
+    """
     ready_checkpoints(df)
     parts = list(strata)
     share = preset.sized(max(1, ceil(preset.settings["rounds"] / len(parts))))
+    combine = _damped_sum(1 - (1 - preset.settings["rate"]) ** share.settings["rounds"])
     stages: list[Model] = []
     for stratum in parts:
         rows = df.filter(stratum)
         if stages:
-            rows = Combined(stages, _sum).transform(rows)
+            rows = Combined(stages, combine).transform(rows)
             rows = rows.withColumn("_left", F.col(target) - F.col(PREDICTION)).drop(PREDICTION)
         else:
             rows = rows.withColumn("_left", F.col(target).cast("double"))
@@ -277,7 +282,7 @@ def fit_residual_chain(
         stages.append(boosting(share, "_left", weight).fit(rows))
     if not stages:
         raise ValueError("no rows to train on")
-    return Combined(stages, _sum)
+    return Combined(stages, combine)
 
 
 def fit_preset(df: DataFrame, preset: Preset, target: str = TARGET, weight: str | None = None):
