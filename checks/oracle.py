@@ -174,7 +174,7 @@ def trip_key(dropoff: bool = False) -> str:
         return f"coalesce({name}::VARCHAR, '-')"
 
     def clock(name: str) -> str:
-        return f"strftime({name}, '%Y-%m-%d %H:%M:%S')"
+        return f"{name}::VARCHAR"
 
     parts = ["trip_type", clock("pickup_datetime")]
     parts += [clock("dropoff_datetime")] if dropoff else []
@@ -628,7 +628,7 @@ CATEGORIES = list(RAW_CATEGORIES)
 SQL["feature_matrix_shape"] = over_trips(
     "SELECT count(*) AS rows, 11 + "
     + " + ".join(f"count(DISTINCT {name})" for name in CATEGORIES)
-    + " AS columns FROM splits WHERE split = 'train'"
+    + " AS columns, 6 * count(*) AS one_hot_entries FROM splits WHERE split = 'train'"
 )
 SQL["unseen_categories"] = over_trips(
     "\nUNION ALL ".join(

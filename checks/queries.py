@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -692,11 +693,17 @@ def _train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def feature_matrix_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and columns of the encoded training matrix."""
+    """Rows, columns and one-hot entries of the encoded training matrix."""
     train = _train(spark, sf_dir)
     vectors = preprocess.to_vectors(preprocess.fit_preprocessor(train), train)
-    size = F.max(F.size(vector_to_array("features"))).cast("bigint")
-    return vectors.agg(F.count("*").alias("rows"), size.alias("columns"))
+    summary = vectors.agg(Summarizer.metrics("count", "numNonZeros").summary(F.col("features")).alias("s"))
+    filled = vector_to_array("s.numNonZeros")
+    one_hot = F.aggregate(F.slice(filled, len(NUMERIC_FEATURES) + 1, F.size(filled)), F.lit(0.0), lambda a, b: a + b)
+    return summary.select(
+        F.col("s.count").alias("rows"),
+        F.size(filled).cast("bigint").alias("columns"),
+        one_hot.cast("bigint").alias("one_hot_entries"),
+    )
 
 
 @registered
@@ -706,15 +713,23 @@ def unseen_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = preprocess.fit_preprocessor(rows.filter(F.col("trip_type") == "green"))
     encoded = fitted.transform(rows.filter(F.col("trip_type") == "yellow"))
     names = ("trip_type", "pickup_location_id", "dropoff_location_id", "route_id")
+    summary = encoded.agg(
+        F.count("*").alias("rows"),
+        *[Summarizer.numNonZeros(F.col(f"{name}_hot")).alias(name) for name in names],
+    )
+
+    def seen(name: str) -> Column:
+        return F.aggregate(vector_to_array(name), F.lit(0.0), lambda a, b: a + b).cast("bigint")
+
     cells = [
         F.struct(
             F.lit(name).alias("column"),
-            F.count_if(F.array_max(vector_to_array(f"{name}_hot")) == 0).alias("unseen_rows"),
-            F.max(F.size(vector_to_array(f"{name}_hot"))).cast("bigint").alias("levels"),
+            (F.col("rows") - seen(name)).alias("unseen_rows"),
+            F.size(vector_to_array(name)).cast("bigint").alias("levels"),
         )
         for name in names
     ]
-    return encoded.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return summary.select(F.inline(F.array(*cells)))
 
 
 # ---- metrics on fixed predictors ----

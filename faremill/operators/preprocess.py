@@ -7,8 +7,8 @@ into a persistable ``PipelineModel`` so that training, evaluation and streams sh
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from faremill.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES
@@ -50,34 +50,45 @@ def numeric_statistics(features: DataFrame) -> DataFrame:
     )
 
 
-def category_statistics(features: DataFrame) -> DataFrame:
-    """Per categorical feature: most frequent value (the smallest of a tie) and number of levels."""
+def category_counts(features: DataFrame) -> DataFrame:
+    """Rows per categorical feature and value, combined before they are shuffled."""
     cells = F.array(
         *[
             F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("value"))
             for name in CATEGORICAL_FEATURES
         ]
     )
-    counts = (
+    return (
         features.select(F.inline(cells))
         .filter(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count("*").alias("n"))
     )
+
+
+def category_statistics(features: DataFrame) -> DataFrame:
+    """Per categorical feature: most frequent value (the smallest of a tie) and number of levels."""
+    return _with_labels(category_counts(features)).drop("labels")
+
+
+def _with_labels(counts: DataFrame) -> DataFrame:
+    # The values of a category are ids of a closed domain (fleets, zones, pairs of zones).
     rank = F.struct(-F.col("n"), F.col("value").try_cast("bigint"), F.col("value"))
     return counts.groupBy("column").agg(
-        F.min_by("value", rank).alias("most_frequent"), F.count("*").alias("levels")
+        F.min_by("value", rank).alias("most_frequent"),
+        F.count("*").alias("levels"),
+        F.array_sort(F.collect_list("value")).alias("labels"),
     )
 
 
-def _fill_and_scale(numeric: DataFrame, categories: DataFrame) -> SQLTransformer:
+def _fill_and_scale(numeric: list[Row], categories: list[Row]) -> SQLTransformer:
     parts = []
-    for row in numeric.collect():  # one row per feature
+    for row in numeric:
         name, spread = row["column"], row["std"] if row["std"] > 0 else 1.0
         parts.append(
             f"(coalesce(cast({name} AS double), {row['median']!r}D) - {row['mean']!r}D) / {spread!r}D AS {name}_scaled"
         )
-    for row in categories.collect():
+    for row in categories:
         filled = row["most_frequent"].replace("\\", "\\\\").replace("'", "\\'")
         parts.append(f"coalesce(cast({row['column']} AS string), '{filled}') AS {row['column']}_known")
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
@@ -86,22 +97,29 @@ def _fill_and_scale(numeric: DataFrame, categories: DataFrame) -> SQLTransformer
 def fit_preprocessor(features: DataFrame, nominal_levels: int = 0) -> PipelineModel:
     """Fit on a frame with the model features.
 
-    Every category is one-hot encoded; a value not seen here becomes all zeros. For tree learners
-    ``nominal_levels`` keeps categories of up to that many levels as one nominal column instead
-    (the learner's ``maxBins`` must exceed it), which shrinks the split statistics by that factor.
+    Every category is one-hot encoded; a value not seen here becomes all zeros. Tree learners keep
+    one bin per feature and row, so tens of thousands of one-hot columns do not suit them:
+    ``nominal_levels`` keeps categories of fewer levels as one nominal column each (the learner's
+    ``maxBins`` must reach it), and a wider route is left out, being the pair of the two zones.
     """
-    numeric, categories = numeric_statistics(features), category_statistics(features)
-    levels = {row["column"]: row["levels"] for row in categories.collect()}
-    nominal = [name for name in CATEGORICAL_FEATURES if levels[name] < nominal_levels]
+    numeric = numeric_statistics(features).collect()  # one row per feature
+    categories = _with_labels(category_counts(features)).collect()
+    if not numeric or len(categories) < len(CATEGORICAL_FEATURES):
+        raise ValueError("no rows to fit on")
+    labels = {row["column"]: row["labels"] for row in categories}
+    nominal = [name for name in CATEGORICAL_FEATURES if len(labels[name]) < nominal_levels]
     wide = [name for name in CATEGORICAL_FEATURES if name not in nominal]
+    if nominal_levels and "route_id" in wide:
+        wide.remove("route_id")
+    indexed = [name for name in CATEGORICAL_FEATURES if name in nominal or name in wide]
     stages = [
         _fill_and_scale(numeric, categories),
-        StringIndexer(
-            inputCols=[f"{name}_known" for name in CATEGORICAL_FEATURES],
-            outputCols=[f"{name}_index" for name in CATEGORICAL_FEATURES],
-            stringOrderType="alphabetAsc",
-            handleInvalid="keep",
-        ),
+        *[
+            StringIndexerModel.from_labels(
+                labels[name], inputCol=f"{name}_known", outputCol=f"{name}_index", handleInvalid="keep"
+            )
+            for name in indexed
+        ],
     ]
     if wide:
         # The unseen slot is the last one; dropping it turns an unseen value into all zeros.
