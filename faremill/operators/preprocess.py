@@ -68,7 +68,7 @@ def category_counts(features: DataFrame) -> DataFrame:
 
 def category_statistics(features: DataFrame) -> DataFrame:
     """Per categorical feature: most frequent value (the smallest of a tie) and number of levels."""
-    return _with_labels(category_counts(features)).drop("labels")
+    return _with_labels(category_counts(features)).drop("labels", "rows")
 
 
 def _with_labels(counts: DataFrame) -> DataFrame:
@@ -78,6 +78,7 @@ def _with_labels(counts: DataFrame) -> DataFrame:
         F.min_by("value", rank).alias("most_frequent"),
         F.count("*").alias("levels"),
         F.array_sort(F.collect_list("value")).alias("labels"),
+        F.sum("n").alias("rows"),
     )
 
 
@@ -107,7 +108,9 @@ def fit_preprocessor(features: DataFrame, nominal_levels: int = 0) -> PipelineMo
     if not numeric or len(categories) < len(CATEGORICAL_FEATURES):
         raise ValueError("no rows to fit on")
     labels = {row["column"]: row["labels"] for row in categories}
-    nominal = [name for name in CATEGORICAL_FEATURES if len(labels[name]) < nominal_levels]
+    # A tree cannot take a nominal column with more levels than there are rows.
+    bound = min([nominal_levels, *[row["rows"] for row in categories]])
+    nominal = [name for name in CATEGORICAL_FEATURES if len(labels[name]) < bound]
     wide = [name for name in CATEGORICAL_FEATURES if name not in nominal]
     if nominal_levels and "route_id" in wide:
         wide.remove("route_id")

@@ -3,8 +3,9 @@
 The built-in exact ``percentile``/``median`` keep every distinct value of a group in one
 aggregation buffer. Here a first pass counts the values per order-preserving bin, which combines
 on the map side to some ten thousand counts per task whatever the group sizes are. The running
-total over the bins tells which bin holds each wanted rank, and a second pass looks at the values
-of only those bins, again combined into (value, count) before they move.
+total over the bins tells which bin holds each wanted rank. A second pass takes the values of only
+those bins, combined into (value, count) before they move; should such a bin still hold very many
+values, equal slices of it are counted and narrowed down in the same way.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 # Bins per unit of ln(1 + |value|): fares, miles, minutes and errors fall into some ten thousand bins.
 _BINS_PER_LOG = 4096
+# Equal slices a bin is cut into.
+_SLICES = 65_536
 
 
 def _bin(value: Column) -> Column:
@@ -45,54 +48,67 @@ def value_counts(df: DataFrame, columns: Sequence[str] | Mapping[str, Column], b
     return long_values(df, columns, by).groupBy(*by, "column", "value").agg(F.count("*").alias("n"))
 
 
+def _holding(cells: DataFrame, scope: Sequence[str], cell: str, wanted: Column, start: Column) -> DataFrame:
+    """Cells that hold a wanted rank, with the rows before them and the ranks to find inside."""
+    order = Window.partitionBy(*scope).orderBy(cell)
+    upto = start + F.sum("n").over(order)
+    ranked = cells.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n"))
+    # A rank r (from 0) lies in the cell with before <= r < upto.
+    hits = F.filter(wanted, lambda w: (w["high"] >= F.col("before")) & (w["low"] < F.col("upto")))
+    return ranked.withColumn("hits", hits).filter(F.size("hits") > 0)
+
+
 def _percentiles(
     values: DataFrame, probabilities: Sequence[float], by: Sequence[str], few_groups: bool
 ) -> DataFrame:
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if few_groups else df
+
     keys = [*by, "column"]
     binned = values.withColumn("bin", _bin(F.col("value")))
-    bins = binned.groupBy(*keys, "bin").agg(F.sum("n").alias("in_bin"))
-    running = Window.partitionBy(*keys).orderBy("bin")
-    bins = bins.withColumn("upto", F.sum("in_bin").over(running)).withColumn(
-        "total", F.sum("in_bin").over(Window.partitionBy(*keys))
+    bins = binned.groupBy(*keys, "bin").agg(
+        F.sum("n").alias("n"), F.min("value").alias("floor"), F.max("value").alias("top")
     )
-
+    bins = bins.withColumn("last", F.sum("n").over(Window.partitionBy(*keys)) - 1)
     wanted = F.array(
         *[
             F.struct(
-                F.lit(i).alias("slot"),
-                F.floor(F.lit(float(p)) * (F.col("total") - 1)).alias("low"),
-                F.ceil(F.lit(float(p)) * (F.col("total") - 1)).alias("high"),
-                (F.lit(float(p)) * (F.col("total") - 1)).alias("at"),
+                F.lit(i).alias("place"),
+                F.floor(F.lit(float(p)) * F.col("last")).alias("low"),
+                F.ceil(F.lit(float(p)) * F.col("last")).alias("high"),
+                (F.lit(float(p)) * F.col("last")).alias("at"),
             )
             for i, p in enumerate(probabilities)
         ]
     )
-    before = F.col("upto") - F.col("in_bin")
-    # A rank r (from 0) lies in the bin with before <= r < upto.
-    hits = F.filter(wanted, lambda w: (w["high"] >= before) & (w["low"] < F.col("upto")))
-    picked = (
-        bins.withColumn("before", before)
-        .withColumn("hits", hits)
-        .filter(F.size("hits") > 0)
-        .select(*keys, "bin", "before", "hits")
-    )
+    picked = _holding(bins, keys, "bin", wanted, F.lit(0)).select(*keys, "bin", "floor", "top", "before", "hits")
 
-    if few_groups:
-        picked = F.broadcast(picked)
+    in_bin = [*keys, "bin"]
+    width = F.col("top") - F.col("floor")
+    part = F.when(width > 0, F.floor((F.col("value") - F.col("floor")) / width * _SLICES)).otherwise(F.lit(0))
     inside = (
-        binned.join(picked.select(*keys, "bin"), [*keys, "bin"], "left_semi")
-        .groupBy(*keys, "bin", "value")
+        binned.join(small(picked.select(*in_bin)), in_bin, "left_semi")
+        .groupBy(*in_bin, "value")
         .agg(F.sum("n").alias("n"))
-        .join(picked, [*keys, "bin"])
+        .join(small(picked), in_bin)
+        .withColumn("slice", part)
+    )
+    slices = inside.groupBy(*in_bin, "slice").agg(
+        F.sum("n").alias("n"), F.any_value("before").alias("start"), F.any_value("hits").alias("wanted")
     )
-    in_order = Window.partitionBy(*keys, "bin").orderBy("value")
-    inside = inside.withColumn("last", F.col("before") + F.sum("n").over(in_order) - 1).withColumn(
-        "first", F.col("last") - F.col("n") + 1
+    final = _holding(slices, in_bin, "slice", F.col("wanted"), F.col("start"))
+    in_slice = [*in_bin, "slice"]
+    in_order = Window.partitionBy(*in_slice).orderBy("value")
+    found = (
+        inside.drop("before", "hits")
+        .join(small(final.select(*in_slice, "before", "hits")), in_slice)
+        .withColumn("last", F.col("before") + F.sum("n").over(in_order) - 1)
+        .withColumn("first", F.col("last") - F.col("n") + 1)
     )
     ends = (
-        inside.select(*keys, "value", "first", "last", F.inline("hits"))
+        found.select(*keys, "value", "first", "last", F.inline("hits"))
         .filter((F.col("high") >= F.col("first")) & (F.col("low") <= F.col("last")))
-        .groupBy(*keys, "slot")
+        .groupBy(*keys, "place")
         .agg(
             F.min("value").alias("below"),
             F.max("value").alias("above"),
@@ -102,8 +118,8 @@ def _percentiles(
     value = F.col("below") + (F.col("above") - F.col("below")) * F.col("part")
     return (
         ends.groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("slot", value.alias("value")))).alias("slots"))
-        .select(*keys, F.col("slots.value").alias("quantiles"))
+        .agg(F.array_sort(F.collect_list(F.struct("place", value.alias("value")))).alias("places"))
+        .select(*keys, F.col("places.value").alias("quantiles"))
     )
 
 
