@@ -287,7 +287,7 @@ UNION ALL SELECT 'total_amount', round(avg(total_amount), 9), round(corr(fare_am
 SQL["correlation_matrix"] = over_trips(
     "\nUNION ALL ".join(
         f"SELECT '{a}' AS \"column\", '{b}' AS other, "
-        f"{'1.0::DOUBLE' if a == b else f'round(corr({EDA[a]}, {EDA[b]}), 6)'} AS correlation "
+        f"{'1.0::DOUBLE' if a == b else f'round(corr({EDA[a]}, {EDA[b]}), 9)'} AS correlation "
         "FROM canonical GROUP BY ()"
         for a in EDA
         for b in EDA
@@ -489,7 +489,7 @@ SQL["zone_facts"] = over_trips(
     """SELECT p.borough AS pickup_borough, d.borough AS dropoff_borough,
        (p.service_zone IN ('Airports', 'EWR'))::INTEGER AS pickup_is_airport,
        (d.service_zone IN ('Airports', 'EWR'))::INTEGER AS dropoff_is_airport,
-       count(*) AS rows, round(avg(fare_amount), 9) AS mean_fare
+       count(*) AS rows, round(sum(fare_amount), 6) AS fares
 FROM obt o LEFT JOIN zones p ON o.pickup_location_id = p.location_id
 LEFT JOIN zones d ON o.dropoff_location_id = d.location_id GROUP BY 1, 2, 3, 4"""
 )
@@ -650,8 +650,8 @@ def metric_columns(guess: str, digits: int = 9) -> str:
        round(1 - avg({error} * {error}) / CASE WHEN var_pop(fare_amount) > 0 THEN var_pop(fare_amount) ELSE 1 END, {digits}) AS r2"""
 
 
-def middle_error(guess: str) -> str:
-    return f"round(median(abs(fare_amount - ({guess}))), 9) AS med_ae"
+def middle_error(guess: str, digits: int = 9) -> str:
+    return f"round(median(abs(fare_amount - ({guess}))), {digits}) AS med_ae"
 
 
 RATE = "3.0::DOUBLE + 2.5::DOUBLE * estimated_distance"
@@ -666,7 +666,7 @@ SQL["metrics_by_month"] = over_trips(
 )
 SQL["metrics_by_week"] = over_trips(
     f"""SELECT DATE '2001-01-01' + ((CAST(pickup_datetime AS DATE) - DATE '2001-01-01') // 7 * 7)::INTEGER AS window_start,
-       {metric_columns(RATE)}, {middle_error(RATE)} FROM splits WHERE split = 'test' GROUP BY 1"""
+       {metric_columns(RATE, 10)}, {middle_error(RATE, 10)} FROM splits WHERE split = 'test' GROUP BY 1"""
 )
 SQL["fleet_metrics_with_total"] = over_trips(
     f"SELECT trip_type, {metric_columns(RATE)} FROM {HELD_OUT} GROUP BY ROLLUP (trip_type)"

@@ -475,11 +475,8 @@ def zone_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def zone_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lookups.with_zone_facts(obt_rows(spark, sf_dir), zones(spark, sf_dir))
-    return rounded(
-        rows.groupBy("pickup_borough", "dropoff_borough", "pickup_is_airport", "dropoff_is_airport").agg(
-            F.count("*").alias("rows"), F.avg(TARGET).alias("mean_fare")
-        )
-    )
+    ends = ("pickup_borough", "dropoff_borough", "pickup_is_airport", "dropoff_is_airport")
+    return rounded(rows.groupBy(*ends).agg(F.count("*").alias("rows"), F.sum(TARGET).alias("fares")), 6)
 
 
 @registered
@@ -775,7 +772,7 @@ def metrics_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, last = SETTINGS.split_ranges["test"]
     rows = splits.split(obt_rows(spark, sf_dir), "test", SETTINGS)
     rows = splits.with_window(FixedRate().transform(rows), first, last, "week")
-    return rounded(metrics.regression_metrics(rows, by=["window_start"]))
+    return rounded(metrics.regression_metrics(rows, by=["window_start"]), 10)
 
 
 @registered
