@@ -530,7 +530,7 @@ def parsed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("time"),
     )
     parsed = rows.select(
-        fn.number(F.col("number")).alias("number"), F.try_to_timestamp("time").cast("timestamp_ntz").alias("time")
+        fn.number(F.col("number")).alias("number"), F.col("time").try_cast("timestamp_ntz").alias("time")
     )
     return parsed.groupBy("number").agg(
         F.count("*").alias("rows"), F.count("time").alias("times"), F.min("time").alias("first_time")
@@ -556,7 +556,7 @@ def _landing(spark: SparkSession, sf_dir: str) -> str:
 @registered
 def month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The expected monthly files and how many raw trips each month holds."""
-    month = F.date_trunc("MONTH", "pickup_datetime")
+    month = F.trunc(F.to_date("pickup_datetime"), "MM")
     held = (
         canonical(spark, sf_dir)
         .groupBy(months.file_name(F.col("trip_type"), month).alias("file_name"))
@@ -604,7 +604,7 @@ def streamed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _audit_rounds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two rounds of audit rows per month: first staged, then copied where it has over 300 trips."""
-    month = F.date_trunc("MONTH", "pickup_datetime")
+    month = F.trunc(F.to_date("pickup_datetime"), "MM")
     name = months.file_name(F.col("trip_type"), month).alias("file_name")
     per_file = canonical(spark, sf_dir).groupBy("trip_type", name).agg(
         F.count("*").alias("rows"), F.min("pickup_datetime").alias("first"), F.max("pickup_datetime").alias("last")

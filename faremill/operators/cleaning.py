@@ -31,7 +31,7 @@ def staging(canonical: DataFrame, settings: Settings) -> DataFrame:
 
 def _as_time(df: DataFrame, column: str) -> Column:
     if dict(df.dtypes)[column] == "string":
-        return F.try_to_timestamp(F.col(column)).cast("timestamp_ntz")
+        return F.col(column).try_cast("timestamp_ntz")
     return F.col(column)
 
 

@@ -35,7 +35,7 @@ def _require(df: DataFrame, columns: Iterable[str]) -> None:
 def with_trip_features(df: DataFrame) -> DataFrame:
     pickup = F.col("pickup_datetime")
     if dict(df.dtypes)["pickup_datetime"] == "string":
-        pickup = F.try_to_timestamp(pickup).cast("timestamp_ntz")
+        pickup = pickup.try_cast("timestamp_ntz")
     return df.withColumns(
         {
             **calendar(pickup),
