@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe
-from faremill.llm.common import table
+from faremill.llm import bpe, language, mixing, urls
+from faremill.llm.common import held_out, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 LLM_QUERIES: dict[str, object] = {}
@@ -42,3 +42,49 @@ def op1_bpe(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> Dat
         return pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return table(spark, sf_dir, "documents").select("doc_id", digests("text").alias("made")).select("doc_id", "made.*")
+
+
+#: Fixed values of the URL rules: verdict, host, start of the path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+#: The list of URLs to block: pages of hosts whose first label names such a site.
+LISTED_HOSTS = r"^(adult|free)-"
+
+
+@registered
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's rule and verdict; without a rule, pages with a listed canonical URL are blocked."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.filter(urls.host(F.col("url")).rlike(LISTED_HOSTS)).select(urls.canonical(F.col("url")).alias("canonical"))
+    judged = urls.with_listed(pages, listed).select(
+        "page_id", urls.host(F.col("url")).alias("host"), urls.path(F.col("url")).alias("path"), "listed"
+    )
+    ruled = judged.withColumn("fits", urls.rule_for(F.col("host"), F.col("path"), URL_RULES))
+    by_list = F.when(F.col("listed"), "block").otherwise("allow")
+    return ruled.select("page_id", "host", "path", "fits.rule", F.coalesce("fits.verdict", by_list).alias("verdict"))
+
+
+MIX_WEIGHTS = (3.0, 1.0, 2.0)
+
+
+@registered
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document when sources are mixed 3:1:2 to 150 % of all words, two epochs at most."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs, MIX_WEIGHTS).select(
+        "doc_id", "size", "source_size", "target", (F.col("repeats") * F.col("size")).alias("taken")
+    )
+
+
+@registered
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learnt from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
+    model = language.train(docs.filter(~F.col("held_out")))
+    made = docs.select("doc_id", "held_out", language.predict(spark, model, F.col("text")).alias("made"))
+    return made.select("doc_id", "held_out", "made.lang_pred", "made.score")

@@ -1,3 +1,79 @@
 """SQL counterparts of the corpus queries that SQL can express."""
 
-LLM_SQL: dict[str, str] = {}
+OP4 = r"""
+WITH parts AS (
+  SELECT page_id, url,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), split AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+         coalesce(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '') AS query
+  FROM parts
+), named AS (
+  SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^(www|m)\.', '') AS name,
+         list_sort(list_filter(string_split(query, '&'),
+                   lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref)(=|$)'))) AS kept
+  FROM split
+), canonical AS (
+  SELECT *, CASE WHEN name <> '' THEN name || regexp_replace(path, '/+$', '') ||
+            CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canon
+  FROM named
+), listed AS (
+  SELECT DISTINCT canon FROM canonical WHERE regexp_matches(host, '^(adult|free)-') AND canon IS NOT NULL
+), rules(verdict, name, start) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+         ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), fits AS (
+  SELECT c.page_id, c.host, c.path, c.canon,
+         (SELECT arg_max(struct_pack(rule := r.name || r.start, verdict := r.verdict), length(r.name || r.start))
+          FROM rules r WHERE (c.host = r.name OR ends_with(c.host, '.' || r.name)) AND starts_with(c.path, r.start)) AS fit
+  FROM canonical c
+)
+SELECT f.page_id, f.host, f.path, f.fit.rule AS rule,
+       coalesce(f.fit.verdict, CASE WHEN l.canon IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM fits f LEFT JOIN listed l ON f.canon = l.canon
+"""
+
+#: Sizes, the water level and the extra copies, straight from the definitions.
+MIXED = r"""
+sized AS (
+  SELECT *, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, '-')) AS digest
+  FROM {docs}
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS words FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+         2.0::DOUBLE * words AS cap
+  FROM sources
+), levels AS (
+  SELECT *,
+         (1.5::DOUBLE * sum(words) OVER () - coalesce(sum(cap) OVER before, 0.0::DOUBLE))
+         / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0.0::DOUBLE)) AS level
+  FROM weighed
+  WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), water AS (
+  SELECT (SELECT level FROM levels WHERE level * weight <= cap ORDER BY cap / weight, source LIMIT 1) AS level
+), targets AS (
+  SELECT l.source, l.words AS source_size, least(l.cap, coalesce(l.weight * w.level, l.cap)) AS target
+  FROM levels l CROSS JOIN water w
+), shares AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM targets
+), ordered AS (
+  SELECT s.*, t.source_size, t.target, t.whole, t.target - t.whole * t.source_size AS rest,
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.digest) AS stop,
+         sum(s.size) OVER (PARTITION BY s.source, s.digest) AS same
+  FROM sized s JOIN shares t ON s.source IS NOT DISTINCT FROM t.source
+), mixed AS (
+  SELECT *, whole + CASE WHEN rest > 0 AND stop - same + same / 2.0 <= rest THEN 1 ELSE 0 END AS repeats FROM ordered
+)
+"""
+
+OP7 = "WITH " + MIXED.format(docs="documents") + """
+SELECT doc_id, size, source_size, target, (repeats * size)::BIGINT AS taken FROM mixed
+"""
+
+LLM_SQL: dict[str, str] = {"op4_urls": OP4, "op7_mixing": OP7}
