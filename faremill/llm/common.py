@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HELD_OUT_OF = 5
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,3 +25,10 @@ def text_or_empty(text: Column) -> Column:
 def document_key(doc_id: Column, text: Column) -> Column:
     """A digest of id and text: rows that repeat both are one document to every operator."""
     return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(":"), text_or_empty(text)))
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the bytes of the batches that go to Python, where the session leaves them open: texts may be very long."""
+    name, unset = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 30
+    if int(spark.conf.get(name, str(2**31 - 1)).rstrip("b")) > unset:
+        spark.conf.set(name, str(BATCH_BYTES))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe, language, mixing, urls
+from faremill.llm import bpe, language, lines, mixing, near_dedup, urls
 from faremill.llm.common import held_out, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -88,3 +88,24 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(docs.filter(~F.col("held_out")))
     made = docs.select("doc_id", "held_out", language.predict(spark, model, F.col("text")).alias("made"))
     return made.select("doc_id", "held_out", "made.lang_pred", "made.score")
+
+
+@registered
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near duplicates of every document; one document of each group stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.groups(docs).select("doc_id", "group_id", "group_size", "kept")
+
+
+@registered
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated lines of every whole text: how many, where (character offsets), and what stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = lines.with_repeats(docs)
+    written = F.transform("_removed", lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string")))
+    return cut.select(
+        "doc_id",
+        F.coalesce(F.size("_removed"), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce(F.array_join(written, ","), F.lit("")).alias("removed"),
+        F.sha2(F.coalesce("_kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )

@@ -76,4 +76,34 @@ OP7 = "WITH " + MIXED.format(docs="documents") + """
 SELECT doc_id, size, source_size, target, (repeats * size)::BIGINT AS taken FROM mixed
 """
 
-LLM_SQL: dict[str, str] = {"op4_urls": OP4, "op7_mixing": OP7}
+#: Lines of at least five words; the first by (id, digest of the text, line number) of equal ones stays.
+LINES = r"""
+keyed AS (
+  SELECT row_number() OVER () AS row_nr, *,
+         md5(coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')) AS doc_key,
+         string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM {docs}
+), unit AS (
+  SELECT row_nr, doc_id, doc_key, generate_subscripts(lines, 1) AS nth, unnest(lines) AS line FROM keyed
+), placed AS (
+  SELECT *, sum(length(line) + 1) OVER (PARTITION BY row_nr ORDER BY nth) - length(line) - 1 AS start,
+         trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm
+  FROM unit
+), judged AS (
+  SELECT *, len(string_split(norm, ' ')) >= 5 AND
+         dense_rank() OVER (PARTITION BY norm ORDER BY doc_id NULLS LAST, doc_key, nth) > 1 AS gone
+  FROM placed
+), cut AS (
+  SELECT row_nr, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(start::BIGINT || '-' || (start + length(line))::BIGINT, ',' ORDER BY nth) FILTER (gone), '') AS removed,
+         coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT gone), '') AS kept
+  FROM judged GROUP BY row_nr
+)
+"""
+
+OP5 = "WITH " + LINES.format(docs="documents") + """
+SELECT k.doc_id, c.n_removed, c.removed, sha256(c.kept) AS kept_sha256
+FROM keyed k JOIN cut c ON k.row_nr = c.row_nr
+"""
+
+LLM_SQL: dict[str, str] = {"op4_urls": OP4, "op5_lines": OP5, "op7_mixing": OP7}
