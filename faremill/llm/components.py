@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
 Every step is an aggregate of minima (combined before the shuffle) and a join, so a node with very many
-neighbours is never gathered in one task. Edges are written to the shared folder after each round.
+neighbours is never gathered in one task. Minima and edges are written to the shared folder: the joins then
+have a shuffle of their own on either side, and the adaptive planner splits the part of a hot node.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     hung = both.join(least, "a")
     if large:
         moved = hung.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -62,7 +62,8 @@ def repeats(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) ->
     found = cut_lineage(units(docs, text, min_words))
     rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key", "nth")
     many = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(rank).alias("first")).filter("n > 1")
-    later = found.join(many, "digest").filter((F.col("first.key") != F.col("key")) | (F.col("first.nth") != F.col("nth")))
+    # written first: the join then has a shuffle of its own on either side, of which a hot digest's part is split
+    later = found.join(cut_lineage(many), "digest").filter((F.col("first.key") != F.col("key")) | (F.col("first.nth") != F.col("nth")))
     spans = later.select("key", F.struct("start", "stop").alias("span"))
     return spans.groupBy("key").agg(F.array_sort(F.collect_set("span")).alias("removed"))  # lines of one text
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe, language, lines, mixing, near_dedup, urls
+from faremill.llm import bpe, embed_dedup, language, lines, mixing, near_dedup, urls
 from faremill.llm.common import held_out, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -109,3 +109,9 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_join(written, ","), F.lit("")).alias("removed"),
         F.sha2(F.coalesce("_kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@registered
+def op8_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector among those of its label."""
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))

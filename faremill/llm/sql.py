@@ -106,4 +106,25 @@ SELECT k.doc_id, c.n_removed, c.removed, sha256(c.kept) AS kept_sha256
 FROM keyed k JOIN cut c ON k.row_nr = c.row_nr
 """
 
-LLM_SQL: dict[str, str] = {"op4_urls": OP4, "op5_lines": OP5, "op7_mixing": OP7}
+OP8 = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), heads AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, h.component_id, e.vec_id = h.component_id AS kept
+FROM embeddings e JOIN heads h ON e.vec_id = h.a LEFT JOIN counts c ON e.vec_id = c.a
+"""
+
+LLM_SQL: dict[str, str] = {"op4_urls": OP4, "op5_lines": OP5, "op7_mixing": OP7, "op8_embed_dedup": OP8}
