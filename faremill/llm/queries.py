@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe, embed_dedup, language, lines, mixing, near_dedup, urls
+from faremill.llm import bpe, embed_dedup, hnsw, language, lines, mixing, near_dedup, urls
 from faremill.llm.common import held_out, table
+from faremill.session import cut_lineage
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 LLM_QUERIES: dict[str, object] = {}
@@ -115,3 +116,14 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector among those of its label."""
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+NEAREST, EVERY = 20, 20
+
+
+@registered
+def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found by inner product for every vector whose id is divisible by 20."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    built = cut_lineage(hnsw.index(rows, NEAREST))
+    return hnsw.search(built, rows.filter(F.col("vec_id") % EVERY == 0), NEAREST)
