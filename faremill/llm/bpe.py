@@ -225,19 +225,34 @@ def tokenizer(path: str) -> WordBPE:
     return WordBPE(path)
 
 
+def _id_lists(encoded: list[bytes]) -> pa.Array:
+    offsets = np.r_[0, np.cumsum([len(ids) // 4 for ids in encoded])].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
+
+
 def encode(text: Column, path: str) -> Column:
     """The token ids of a text as array<int>."""
 
     @F.arrow_udf("array<int>")
     def token_ids(texts: pa.Array) -> pa.Array:
-        encoded = tokenizer(path).encode_batch(texts.to_pylist())
-        offsets = np.r_[0, np.cumsum([len(ids) // 4 for ids in encoded])].astype(np.int32)
-        values = np.frombuffer(b"".join(encoded), np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        return _id_lists([ids for part in slices(texts) for ids in tokenizer(path).encode_batch(part)])
 
     return token_ids(text)
 
 
+def encode_decode(text: Column, path: str) -> Column:
+    """A struct of the token ids of a text and the text they decode to, in one pass over the text."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def round_trip(texts: pa.Array) -> pa.Array:
+        bpe = tokenizer(path)
+        encoded = [ids for part in slices(texts) for ids in bpe.encode_batch(part)]
+        decoded = [bpe.decode_one(np.frombuffer(ids, np.int32)) for ids in encoded]
+        return pa.StructArray.from_arrays([_id_lists(encoded), pa.array(decoded, pa.string())], ["ids", "decoded"])
+
+    return round_trip(text)
+
+
 def decode(ids: Column, path: str) -> Column:
     """The text of token ids, special tokens included."""
 

@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe, embed_dedup, hnsw, language, lines, mixing, near_dedup, urls
-from faremill.llm.common import held_out, table
+from faremill.llm import bpe, embed_dedup, hnsw, language, lines, mixing, near_dedup, toxicity, urls
+from faremill.llm.common import bounded_batches, held_out, table
 from faremill.session import cut_lineage
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -42,6 +42,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> Dat
         columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
         return pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256"])
 
+    bounded_batches(spark)
     return table(spark, sf_dir, "documents").select("doc_id", digests("text").alias("made")).select("doc_id", "made.*")
 
 
@@ -127,3 +128,13 @@ def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     built = cut_lineage(hnsw.index(rows, NEAREST))
     return hnsw.search(built, rows.filter(F.col("vec_id") % EVERY == 0), NEAREST)
+
+
+@registered
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learnt from labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.filter(~held_out(F.col("doc_id"))))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity.score(spark, model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
