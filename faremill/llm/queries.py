@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe, embed_dedup, hnsw, language, lines, mixing, near_dedup, toxicity, urls
+from faremill.llm import bpe, embed_dedup, hnsw, language, lines, mixing, near_dedup, suffix_dedup, toxicity, urls
 from faremill.llm.common import bounded_batches, held_out, table
 from faremill.session import cut_lineage
 
@@ -138,3 +138,17 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, labels.filter(~held_out(F.col("doc_id"))))
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity.score(spark, model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@registered
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every whole text that lie in a 400-byte string found elsewhere too, and what is left without them."""
+    cut = suffix_dedup.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes = F.length(F.coalesce("text", F.lit("")).cast("binary")).cast("bigint")
+    return cut.select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.length("_kept")).alias("n_removed"),
+        F.coalesce(F.size("_spans"), F.lit(0)).cast("bigint").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
