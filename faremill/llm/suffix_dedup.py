@@ -193,9 +193,10 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     shard = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // SHARD_BYTES))))
     found = distinct.withColumn("shard", shard).groupBy("shard").applyInArrow(_shard, "region string, begin long, stop long")
     runs = cut_lineage(found.distinct().groupBy("region").agg(F.collect_list(F.struct("begin", "stop")).alias("runs")))
-    hits = regions.select("k1", "k2", "first", "region").join(runs, "region")
+    # distinct: rows that repeat id and text have the same places
+    hits = regions.select("k1", "k2", "first", "region").distinct().join(runs, "region")
     moved = F.transform("runs", lambda r: F.struct((r["begin"] + F.col("first")).alias("begin"), (r["stop"] + F.col("first")).alias("stop")))
-    return hits.groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_list(moved))).alias("spans"))
+    return hits.groupBy("k1", "k2").agg(F.flatten(F.collect_list(moved)).alias("spans"))
 
 
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
