@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 200_000
+CACHED_WORDS = 80_000
 CACHED_LENGTH = 48
 PIECE_CHARS = 1 << 20
 NO_RANK = np.iinfo(np.int64).max
@@ -204,7 +204,7 @@ def _cut(text: str) -> list[str]:
     return pieces
 
 
-def slices(texts: pa.Array, chars: int = 4 * PIECE_CHARS) -> Iterator[list[str | None]]:
+def slices(texts: pa.Array, chars: int = PIECE_CHARS) -> Iterator[list[str | None]]:
     """The texts in order, in lists of bounded total length (or of one text)."""
     part: list[str | None] = []
     size = 0

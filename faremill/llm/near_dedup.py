@@ -192,6 +192,7 @@ def _links(docs: DataFrame, classes: DataFrame, text: str) -> DataFrame:
 def groups(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, key, group_id, group_size, kept) of every row: near duplicates share a group id."""
     bounded_batches(docs.sparkSession)
+    # several jobs read the fingerprints
     prints = cut_lineage(fingerprints(docs, text))
     rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
     classes = cut_lineage(

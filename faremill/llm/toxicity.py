@@ -35,7 +35,7 @@ BEGINNINGS = (4, 5, 7)
 FEATURES = 2000
 VOTERS = 40
 LEAST_ROWS = 3
-CACHED_WORDS = 200_000
+CACHED_WORDS = 50_000
 PIECE_CHARS = 1 << 20
 #: A starter lexicon of common English insults; each is a voter where it occurs.
 INSULTS = ("clown", "disgusting", "dumb", "fool", "idiot", "jerk", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
