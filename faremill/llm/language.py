@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faremill.llm.common import bounded_batches
+
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
 SLICE = 1 << 10
@@ -82,6 +84,7 @@ def _buckets(parts: list[str]) -> tuple[Iterator[np.ndarray], np.ndarray]:
 
 def train(rows: DataFrame, text: str = "text", label: str = "lang") -> LanguageModel:
     """Fit on all rows with a label and a letter in the text."""
+    bounded_batches(rows.sparkSession)
     used = rows.select(F.col(label).cast("string").alias("_label"), F.col(text).alias("_text")).filter(
         F.col("_label").isNotNull() & F.col("_text").rlike(r"\p{L}")
     )
@@ -142,6 +145,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "lang") -> LanguageM
 
 def predict(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
     """A struct of the most likely language and its posterior probability."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("lang_pred string, score double")
