@@ -21,7 +21,7 @@ from faremill.operators.canonical import normalise_frame
 
 
 def refuse_leakage(columns: Iterable[str], forbidden: Iterable[str] = LEAKAGE) -> None:
-    found = sorted(set(columns) & set(forbidden))
+    found = sorted({name.lower() for name in columns} & set(forbidden))  # published files differ in case
     if found:
         raise ValueError("columns known only after the trip: " + ", ".join(found))
 

@@ -19,6 +19,8 @@ def test_leakage_is_refused():
         features.refuse_leakage(["tip_amount", "estimated_distance", "extra"])
     with pytest.raises(ValueError, match="ehail_fee"):
         features.refuse_leakage(["ehail_fee"], contract.STRICT_LEAKAGE)
+    with pytest.raises(ValueError, match="airport_fee"):
+        features.refuse_leakage(["Airport_fee"], contract.STRICT_LEAKAGE)
 
 
 def test_feature_frame(spark):
