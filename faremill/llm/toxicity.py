@@ -31,7 +31,7 @@ from faremill.llm.common import bounded_batches
 from faremill.session import cut_lineage
 
 TRAIN_ROWS = 6000
-BEGINNINGS = (4, 5, 7)
+BEGINNINGS = (4, 6)
 FEATURES = 2000
 VOTERS = 40
 LEAST_ROWS = 3
