@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 from faremill.contract import (
     DISTANCE,
     FEATURE_ROLES,
-    LEAKAGE,
     MODEL_FEATURES,
     OBT_COLUMNS,
     RAW_FEATURES,
+    STRICT_LEAKAGE,
     TARGET,
 )
 from faremill.functions.trip import calendar, number, route
 from faremill.operators.canonical import normalise_frame
 
 
-def refuse_leakage(columns: Iterable[str], forbidden: Iterable[str] = LEAKAGE) -> None:
+def refuse_leakage(columns: Iterable[str], forbidden: Iterable[str] = STRICT_LEAKAGE) -> None:
     found = sorted({name.lower() for name in columns} & set(forbidden))  # published files differ in case
     if found:
         raise ValueError("columns known only after the trip: " + ", ".join(found))

@@ -257,39 +257,25 @@ def fit_adaboost(df: DataFrame, preset: Preset, target: str = TARGET, weight: st
     return Combined(trees, _weighted_median(votes))
 
 
-def _joined_strata(df: DataFrame, strata: Sequence[Column], min_rows: int) -> list[Column]:
-    """Neighbouring strata joined until each has at least ``min_rows`` rows; empty ones vanish."""
-    sizes = df.agg(*[F.count_if(stratum).alias(str(i)) for i, stratum in enumerate(strata)]).first()
-    joined: list[Column] = []
-    waiting, rows = None, 0
-    for stratum, size in zip(strata, sizes):
-        if not size:
-            continue
-        waiting, rows = stratum if waiting is None else waiting | stratum, rows + size
-        if rows >= min_rows:
-            joined.append(waiting)
-            waiting, rows = None, 0
-    if waiting is not None:
-        joined[-1:] = [joined[-1] | waiting] if joined else [waiting]
-    return joined
-
-
 def fit_residual_chain(
     df: DataFrame,
     preset: Preset,
     strata: Iterable[Column],
     target: str = TARGET,
     weight: str | None = None,
-    min_rows: int = TREE_LEVELS,
 ) -> Combined:
     """Continued boosting: every stratum in turn fits its share of the rounds to what is left over.
 
     A Spark stage starts with one tree at full weight. Later stages are therefore damped to the
-    part of the rest that their rounds remove at the learning rate. Strata of fewer than
-    ``min_rows`` rows, which could not split on the zones, are trained together with the next.
+    part of the rest that their rounds remove at the learning rate. Strata without rows are left out.
+    A tree cannot take a nominal column of more levels than there are rows, and a stratum may have
+    few: here, in all strata alike, the numbers of zones, vendors and rate codes are split by order.
     """
     ready_checkpoints(df)
-    parts = _joined_strata(df, list(strata), min_rows)
+    df = df.withColumn(FEATURES, F.col(FEATURES).alias(FEATURES, metadata={"split": "by order"}))
+    strata = list(strata)
+    sizes = df.agg(*[F.count_if(stratum).alias(str(i)) for i, stratum in enumerate(strata)]).first()
+    parts = [stratum for stratum, size in zip(strata, sizes, strict=True) if size]
     if not parts:
         raise ValueError("no rows to train on")
     share = preset.sized(max(1, ceil(preset.settings["rounds"] / len(parts))))

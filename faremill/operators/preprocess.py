@@ -17,6 +17,8 @@ from faremill.operators.features import with_trip_features
 from faremill.operators.quantiles import medians
 
 FEATURES = "features"
+#: The categories that tree learners take as nominal columns: those of a closed domain.
+NOMINAL = tuple(name for name in CATEGORICAL_FEATURES if name != "route_id")
 
 
 def numeric_statistics(features: DataFrame) -> DataFrame:
@@ -68,7 +70,7 @@ def category_counts(features: DataFrame) -> DataFrame:
 
 def category_statistics(features: DataFrame) -> DataFrame:
     """Per categorical feature: most frequent value (the smallest of a tie) and number of levels."""
-    return _with_labels(category_counts(features)).drop("labels", "rows")
+    return _with_labels(category_counts(features)).drop("labels")
 
 
 def _with_labels(counts: DataFrame) -> DataFrame:
@@ -78,7 +80,6 @@ def _with_labels(counts: DataFrame) -> DataFrame:
         F.min_by("value", rank).alias("most_frequent"),
         F.count("*").alias("levels"),
         F.array_sort(F.collect_list("value")).alias("labels"),
-        F.sum("n").alias("rows"),
     )
 
 
@@ -99,22 +100,22 @@ def fit_preprocessor(features: DataFrame, nominal_levels: int = 0) -> PipelineMo
     """Fit on a frame with the model features.
 
     Every category is one-hot encoded; a value not seen here becomes all zeros. Tree learners keep
-    one bin per feature and row, so tens of thousands of one-hot columns do not suit them:
-    ``nominal_levels`` keeps categories of fewer levels as one nominal column each (the learner's
-    ``maxBins`` must reach it), and a wider route is left out, being the pair of the two zones.
+    one bin per feature and row, so tens of thousands of one-hot columns do not suit them: with
+    ``nominal_levels`` (the learner's ``maxBins``) the columns of ``NOMINAL`` are one nominal column each,
+    and the route is left out, being the pair of the two zones. The encoding never depends on the rows;
+    rows that do not suit it are an error.
     """
     numeric = numeric_statistics(features).collect()  # one row per feature
     categories = _with_labels(category_counts(features)).collect()
     if not numeric or len(categories) < len(CATEGORICAL_FEATURES):
         raise ValueError("no rows to fit on")
     labels = {row["column"]: row["labels"] for row in categories}
-    # A tree cannot take a nominal column with more levels than there are rows.
-    bound = min([nominal_levels, *[row["rows"] for row in categories]])
-    nominal = [name for name in CATEGORICAL_FEATURES if len(labels[name]) < bound]
-    wide = [name for name in CATEGORICAL_FEATURES if name not in nominal]
-    if nominal_levels and "route_id" in wide:
-        wide.remove("route_id")
-    indexed = [name for name in CATEGORICAL_FEATURES if name in nominal or name in wide]
+    nominal = list(NOMINAL) if nominal_levels else []
+    wide = [] if nominal_levels else list(CATEGORICAL_FEATURES)
+    for name in nominal:
+        if len(labels[name]) >= nominal_levels:  # one level is for values not seen here
+            raise ValueError(f"{name} has {len(labels[name])} levels, more than {nominal_levels - 1}")
+    indexed = nominal + wide
     stages = [
         _fill_and_scale(numeric, categories),
         *[

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -67,6 +67,12 @@ def predictions(trained: Trained, obt: DataFrame, settings: Settings, *keep: str
     return cut_lineage(trained.predict(held_out, "split", TARGET, *keep))
 
 
+def _require_both(evaluated: Collection[str]) -> None:
+    missing = sorted({"validation", "test"} - set(evaluated))
+    if missing:
+        raise ValueError("nothing to evaluate: no rows in " + ", ".join(missing))
+
+
 def benchmark(
     obt: DataFrame, settings: Settings, presets: Sequence[Preset] = tuple(CATALOG[name] for name in CURATED)
 ) -> DataFrame:
@@ -85,6 +91,7 @@ def benchmark(
             F.sqrt(F.avg(error * error)).alias("rmse")
         )
         rmse = {row["split"]: row["rmse"] for row in found.collect()}  # two rows
+        _require_both(rmse)
         lines.append(
             (preset.name, preset.status, trained.rows, rmse.get("validation"), rmse.get("test"), CONTRACT_VERSION)
         )
@@ -101,7 +108,9 @@ def train_production(
     trained = train(training_rows(obt, settings), preset)
     scored = regression_metrics(predictions(trained, obt, settings), PREDICTION, TARGET, ["split"])
     facts: dict[str, object] = {}
-    for row in scored.collect():  # two rows
+    found = scored.collect()  # two rows
+    _require_both([row["split"] for row in found])
+    for row in found:
         prefix = "val" if row["split"] == "validation" else "test"
         facts.update({f"{prefix}_{name}": row[name] for name in ("rmse", "mae", "med_ae")})
         facts[f"{prefix}_mape"] = round(row["mape"], 2)

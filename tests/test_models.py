@@ -118,16 +118,30 @@ def test_continued_boosting_uses_every_stratum(days):
     fitted = preprocess.fit_preprocessor(with_trip_features(days), 512)
     vectors = preprocess.to_vectors(fitted, days, "fare_amount", "trip_type").persist()
     strata = [F.col("trip_type") == fleet for fleet in ("yellow", "blue", "green")]
-    model = learners.fit_residual_chain(vectors, small("xgboost", rounds=6, leaf=1), strata, min_rows=8)
+    model = learners.fit_residual_chain(vectors, small("xgboost", rounds=6, leaf=1), strata)
     assert len(model.models) == 2  # the empty stratum is skipped
     error = F.col("fare_amount") - F.col("prediction")
     assert model.transform(vectors).agg(F.sqrt(F.avg(error * error))).first()[0] < 5
-    joined = learners._joined_strata(vectors, strata, 20)
-    assert [vectors.filter(stratum).count() for stratum in joined] == [30]
+    few = [F.col("fare_amount") == vectors.first()["fare_amount"], F.lit(True)]
+    assert len(learners.fit_residual_chain(vectors, small("xgboost", rounds=6, leaf=1), few).models) == 2
     with pytest.raises(ValueError, match="no rows"):
         learners.fit_residual_chain(vectors.limit(0), small("xgboost", rounds=6), strata)
 
 
+def test_tree_encoding_does_not_depend_on_the_rows(days):
+    whole, part = (preprocess.fit_preprocessor(with_trip_features(df), 512) for df in (days, days.limit(9)))
+    columns = [fitted.stages[-1].getInputCols() for fitted in (whole, part)]
+    assert columns[0] == columns[1] and "route_id_index" not in columns[0]
+    with pytest.raises(ValueError, match="levels, more than 1"):
+        preprocess.fit_preprocessor(with_trip_features(days), 2)
+
+
+def test_an_evaluation_needs_both_splits(days, january):
+    early = with_trip_features(days).orderBy("pickup_datetime").limit(5)
+    with pytest.raises(ValueError, match="no rows in test, validation"):
+        training.benchmark(early, january, [learners.CATALOG["dummy_regressor"]])
+
+
 def test_benchmark_orders_by_validation_error(days, january):
     table = training.benchmark(
         with_trip_features(days), january, [learners.CATALOG["dummy_regressor"], small("gradient_boosting", rounds=3)]

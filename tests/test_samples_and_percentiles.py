@@ -106,3 +106,16 @@ def test_profile_counts_null_as_a_value(spark):
     found = {row["column"]: row for row in reports.column_profile(df).collect()}
     assert (found["a"]["nulls"], found["a"]["n_unique"], found["a"]["null_pct"]) == (1, 2, 33.33)
     assert (found["b"]["nulls"], found["b"]["n_unique"]) == (0, 2)
+
+
+def test_samples_do_not_depend_on_the_order_of_ties(spark):
+    rows = [("same", n) for n in range(40)]
+    one, other = (spark.createDataFrame(part, "key string, tip int").repartition(3) for part in (rows, rows[::-1]))
+    taken = [sorted(row["tip"] for row in sampling.smallest_hashes(df, 7, F.col("key"), 5).collect()) for df in (one, other)]
+    assert taken[0] == taken[1] == list(range(7))
+
+
+def test_metrics_without_rows_are_one_row(spark):
+    df = spark.createDataFrame([], "fare_amount double, prediction double")
+    row = metrics.regression_metrics(df).collect()
+    assert len(row) == 1 and row[0]["rows"] == 0 and row[0]["rmse"] is None and row[0]["med_ae"] is None
