@@ -8,11 +8,11 @@ if the aligned similarity is at least ``SIMILARITY``: shingles matched in order,
 Matches are sought only within the band of shifts that such a similarity allows.
 
 Documents of the same words form one class, and only classes are compared. In each bucket of equal
-sketches all classes are compared with the most central one - the one whose sketches are shared most - and
-then, in further rounds, with the most central one outside of the components found so far. A bucket of any size
-thus makes no more pairs than it has members in a round, and no group is gathered in one task. A link between
-two classes that are never a centre's partner is found through the other sketches or through their common
-centre; the README gives the measured recall of groups.
+sketches all classes are compared with a centre: the class whose sketches are shared most. In the next
+round they are compared with the most central class outside of the components that the bucket's centres belong
+to, and so on until a round finds no link. A bucket of any size thus makes no more pairs than it has members in a
+round, and no group is gathered in one task. A link between two classes that are never a centre's partner is
+found through the other sketches or through their common centre; the README gives the measured recall of groups.
 
 Null and empty texts, and texts without a word, are never grouped. Rows that repeat id and text are one
 document. A group's id is its smallest doc_id (a null id comes last); the row that stays is the first by id, then
@@ -40,7 +40,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 20
 MINIMA = 4
-ROUNDS = 2
 _WORD = re.compile(r"\w+")
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -160,7 +159,7 @@ def _verified(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
 
 
 def _pairs(members: DataFrame, centres: DataFrame) -> DataFrame:
-    """Distinct pairs of members with the centre of their bucket, beyond the centre's component."""
+    """Distinct pairs of members with the new centre of their bucket, beyond the centre's component."""
     met = members.join(centres, "bucket").filter(F.col("component") != F.col("centre.component"))
     return met.select(F.col("class").alias("a"), F.col("centre.class").alias("b")).distinct()
 
@@ -175,18 +174,22 @@ def _links(docs: DataFrame, classes: DataFrame, text: str) -> DataFrame:
     shingles = cut_lineage(_shingle_table(docs, score.join(classes, "class").select("class", "key"), text))
     placement = F.struct("score", "class", "component")
     now = members.withColumn("component", F.col("class"))
-    tried = now.groupBy("bucket").agg(F.max(placement).alias("centre"))
-    edges = cut_lineage(_verified(_pairs(now, tried), shingles))
-    found = cut_lineage(components(edges))
-    for _ in range(1, ROUNDS):
-        labels = found.withColumnRenamed("node", "class")
-        now = members.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        first = now.groupBy("bucket").agg(F.max(placement)["component"].alias("done"))
-        open_to = now.join(first, "bucket").filter(F.col("component") != F.col("done"))
-        centres = open_to.groupBy("bucket").agg(F.max(placement).alias("centre"))
-        edges = cut_lineage(edges.union(_verified(_pairs(now, centres), shingles)))
+    centres = cut_lineage(now.groupBy("bucket").agg(F.max(placement).alias("centre")))
+    tried, edges = centres, None
+    while True:
+        fresh = cut_lineage(_verified(_pairs(now, centres), shingles))
+        if edges is not None and fresh.isEmpty():
+            return found
+        edges = fresh if edges is None else edges.union(fresh)
         found = cut_lineage(components(edges))
-    return found
+        labels = found.withColumnRenamed("node", "class")
+        now = cut_lineage(members.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class")))
+        # one row for each bucket and component in both: a component of a tried centre is done with in that bucket
+        heads = now.groupBy("bucket", "component").agg(F.max(placement).alias("centre"))
+        done = tried.select("bucket", F.col("centre.class").alias("class")).join(now, ["bucket", "class"])
+        open_to = heads.join(done.select("bucket", "component"), ["bucket", "component"], "left_anti")
+        centres = cut_lineage(open_to.groupBy("bucket").agg(F.max("centre").alias("centre")))
+        tried = tried.union(centres)
 
 
 def groups(docs: DataFrame, text: str = "text") -> DataFrame:
