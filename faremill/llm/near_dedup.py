@@ -7,12 +7,13 @@ hash and keeps their text order; equal sketches make two documents candidates. A
 if the aligned similarity is at least ``SIMILARITY``: shingles matched in order, over shingles of either.
 Matches are sought only within the band of shifts that such a similarity allows.
 
-Documents of the same words form one class, and only classes are compared. In each bucket of equal
-sketches all classes are compared with a centre: the class whose sketches are shared most. In the next
-round they are compared with the most central class outside of the components that the bucket's centres belong
-to, and so on until a round finds no link. A bucket of any size thus makes no more pairs than it has members in a
-round, and no group is gathered in one task. A link between two classes that are never a centre's partner is
-found through the other sketches or through their common centre; the README gives the measured recall of groups.
+Documents of the same words form one class, and only classes are compared. First, all classes of each bucket of
+equal sketches are compared with its centre: the class whose sketches are shared most. Then every pair of
+classes that shares a bucket and is not yet connected is verified, in the first sketch that it shares. For that, the members
+of a bucket outside of its largest component are cut into blocks and compared with each other and with the
+blocks of the largest component. Every pair of blocks is one unit of work, so no group is gathered in one task; a unit returns a
+spanning forest of its links, not its pairs. Inside a unit, a pair whose classes are connected by then is passed over, and
+common shingles are counted for many pairs at once before any is aligned.
 
 Null and empty texts, and texts without a word, are never grouped. Rows that repeat id and text are one
 document. A group's id is its smallest doc_id (a null id comes last); the row that stays is the first by id, then
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faremill.llm.common import bounded_batches, document_key, text_or_empty
@@ -40,6 +41,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 20
 MINIMA = 4
+BLOCK = 512
+BLOCK_BYTES = 4 << 20
 _WORD = re.compile(r"\w+")
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -164,32 +167,123 @@ def _pairs(members: DataFrame, centres: DataFrame) -> DataFrame:
     return met.select(F.col("class").alias("a"), F.col("centre.class").alias("b")).distinct()
 
 
+def _unit_links(bucket: int, sides: np.ndarray, both: bool, labels: np.ndarray, keys: np.ndarray, texts: list[np.ndarray]) -> list[tuple[int, int]]:
+    """A spanning forest of the links in a unit, beyond ``labels``; pairs of one side count only with ``both``."""
+    sizes = np.array([len(x) for x in texts])
+    begins = np.cumsum(sizes) - sizes
+    kinds, inverse = np.unique(np.concatenate(texts), return_inverse=True)
+    share = SIMILARITY / (1 + SIMILARITY)
+    component = np.unique(labels, return_inverse=True)[1]
+    within, out = np.zeros(len(kinds), bool), []
+    for x in range(len(texts) - 1):
+        y = np.arange(x + 1, len(texts))
+        y = y[(component[y] != component[x]) & (both | (sides[y] != sides[x]))]
+        need = share * (sizes[y] + sizes[x]) - 1e-9
+        able = np.minimum(sizes[y], sizes[x]) >= need
+        y, need = y[able], need[able]
+        same = keys[y] == keys[x]
+        first = keys[x][same.argmax(axis=1)] == bucket
+        y, need = y[first], need[first]
+        if not len(y):
+            continue
+        own = inverse[begins[x] : begins[x] + sizes[x]]
+        within[own] = True
+        ends = np.cumsum(sizes[y])
+        places = np.arange(ends[-1]) + np.repeat(begins[y] - (ends - sizes[y]), sizes[y])
+        common = np.add.reduceat(within[inverse[places]].astype(np.int64), ends - sizes[y])
+        within[own] = False
+        for other in y[common >= need].tolist():
+            if component[other] != component[x] and aligned_similarity(texts[x], texts[other]) >= SIMILARITY:
+                component[component == component[other]] = component[x]
+                out.append((x, other))
+    return out
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components, unit by unit; rows come sorted by unit."""
+    names = ["a", "b"]
+
+    def forest(rows: pa.Table) -> pa.RecordBatch:
+        # units whose digests collide are told apart by their buckets
+        pairs: list[tuple[bytes, bytes]] = []
+        buckets = rows["bucket"].to_numpy()
+        for bucket in np.unique(buckets).tolist():
+            part = rows.filter(pa.array(buckets == bucket))
+            labels = part["component"].to_pylist()
+            keys = part["sketch"].combine_chunks().flatten().to_numpy().reshape(part.num_rows, -1)
+            texts = [np.frombuffer(x, np.uint32) for x in part["shingles"].to_pylist()]
+            both = part["one_block"][0].as_py()
+            found = _unit_links(bucket, part["side"].to_numpy(), both, np.array(labels, object), keys, texts)
+            pairs += [(labels[x], labels[y]) for x, y in found]
+        made = [pa.array([pair[i] for pair in pairs], pa.binary()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays(made, names)
+
+    held: list[pa.Table] = []
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        unit = rows["unit"].to_numpy()
+        edges = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]]).tolist() if len(unit) else []
+        for begin, stop in zip(edges, [*edges[1:], len(unit)], strict=True):
+            if held and held[0]["unit"][0].as_py() != unit[begin]:
+                yield forest(pa.concat_tables(held))
+                held = []
+            held.append(rows.slice(begin, stop - begin))
+    if held:
+        yield forest(pa.concat_tables(held))
+
+
+def _units(members: DataFrame) -> DataFrame:
+    """(unit, bucket, side, one_block, class, component): the blocks to compare of buckets of several components.
+
+    ``members`` are (bucket, class, component, bytes). Sides below 0 are blocks of the bucket's largest component.
+    """
+    by_component = members.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    plan = by_component.groupBy("bucket").agg(
+        F.count("*").alias("components"),
+        F.sum("n").alias("n"),
+        F.sum("bytes").alias("bytes"),
+        F.max(F.struct("n", "component", "bytes")).alias("head"),
+    )
+
+    def blocks(n: Column, size: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("bigint")
+
+    plan = plan.filter("components > 1").select(
+        "bucket",
+        F.col("head.component").alias("head"),
+        blocks(F.col("head.n"), F.col("head.bytes")).alias("heads"),
+        blocks(F.col("n") - F.col("head.n"), F.col("bytes") - F.col("head.bytes")).alias("others"),
+    )
+    met = members.join(cut_lineage(plan), "bucket")
+    hashed = F.xxhash64("class")
+    of_head = F.col("component") == F.col("head")
+    side = F.when(of_head, -1 - F.pmod(hashed, F.col("heads"))).otherwise(F.pmod(hashed, F.col("others")))
+    first = F.when(of_head, F.lit(0)).otherwise(-F.col("heads")).cast("bigint")
+    spread = met.withColumn("side", side).withColumn("other", F.explode(F.sequence(first, F.col("others") - 1)))
+    unit = F.xxhash64("bucket", F.least("side", "other"), F.greatest("side", "other"))
+    return spread.select(unit.alias("unit"), "bucket", "side", (F.col("side") == F.col("other")).alias("one_block"), "class", "component")
+
+
 def _links(docs: DataFrame, classes: DataFrame, text: str) -> DataFrame:
-    """(node, component) over classes that have a link."""
-    placed = classes.select("class", F.explode("sketch").alias("bucket"))
+    """(node, component) over classes that share a sketch."""
+    placed = classes.select("class", F.explode("sketch").alias("bucket")).distinct()
     shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = cut_lineage(placed.join(shared, "bucket"))
     score = members.groupBy("class").agg(F.round(F.sum(F.log("n")), 6).alias("score"))
     members = cut_lineage(members.join(score, "class").select("bucket", "class", "score"))
     shingles = cut_lineage(_shingle_table(docs, score.join(classes, "class").select("class", "key"), text))
-    placement = F.struct("score", "class", "component")
     now = members.withColumn("component", F.col("class"))
-    centres = cut_lineage(now.groupBy("bucket").agg(F.max(placement).alias("centre")))
-    tried, edges = centres, None
-    while True:
-        fresh = cut_lineage(_verified(_pairs(now, centres), shingles))
-        if edges is not None and fresh.isEmpty():
-            return found
-        edges = fresh if edges is None else edges.union(fresh)
-        found = cut_lineage(components(edges))
-        labels = found.withColumnRenamed("node", "class")
-        now = cut_lineage(members.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class")))
-        # one row for each bucket and component in both: a component of a tried centre is done with in that bucket
-        heads = now.groupBy("bucket", "component").agg(F.max(placement).alias("centre"))
-        done = tried.select("bucket", F.col("centre.class").alias("class")).join(now, ["bucket", "class"])
-        open_to = heads.join(done.select("bucket", "component"), ["bucket", "component"], "left_anti")
-        centres = cut_lineage(open_to.groupBy("bucket").agg(F.max("centre").alias("centre")))
-        tried = tried.union(centres)
+    centres = cut_lineage(now.groupBy("bucket").agg(F.max(F.struct("score", "class", "component")).alias("centre")))
+    edges = cut_lineage(_verified(_pairs(now, centres), shingles))
+    labels = cut_lineage(components(edges)).withColumnRenamed("node", "class")
+    sizes = shingles.select("class", F.length("shingles").cast("bigint").alias("bytes"))
+    known = cut_lineage(sizes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class")))
+    units = _units(cut_lineage(members.select("bucket", "class").join(known, "class")))
+    full = units.join(shingles.join(classes.select("class", "sketch"), "class"), "class")
+    work = full.repartition("unit").sortWithinPartitions("unit", "class")
+    fresh = cut_lineage(work.mapInArrow(_compared, "a binary, b binary"))
+    joined = cut_lineage(components(fresh)).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    return known.join(joined, "component", "left").select(F.col("class").alias("node"), F.coalesce("whole", "component").alias("component"))
 
 
 def groups(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -88,6 +88,39 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(got[r.doc_id].kept == (rows[i].doc_id == r.doc_id) for r, i in zip(rows, want, strict=True))
 
 
+def given_sketches(spark, texts, sketches):
+    """The links of texts whose sketches are laid down."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    laid = spark.createDataFrame(list(enumerate(sketches)), "doc_id long, laid array<bigint>")
+    classes = near_dedup.fingerprints(docs).join(laid, "doc_id").select("class", "key", "doc_id", F.col("laid").alias("sketch")).persist()
+    found = near_dedup._links(docs, classes, "text").withColumnRenamed("node", "class")
+    return {r.doc_id: r.component for r in classes.join(found, "class").collect()}
+
+
+def test_bucket_mates_behind_more_central_texts_are_compared(spark):
+    same = prose(31, 120)
+    texts = [same, same + " end"] + [prose(40 + i, 120) for i in range(6)]
+    # the unrelated texts share more buckets, so each of them is a centre before the linked two
+    sketches = [[1, 100], [1, 101]] + [[1, 2] for _ in range(6)]
+    got = given_sketches(spark, texts, sketches)
+    assert got[0] == got[1] and len(set(got.values())) == 7
+
+
+def test_blocks_of_a_bucket_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 2)
+    rng, texts = random.Random(8), []
+    for i in range(6):
+        words = prose(60 + i, 150).split()
+        for _ in range(5):
+            at = rng.randrange(150)
+            texts.append(" ".join([*words[:at], "new" * rng.randint(1, 50), *words[at + 1 :]]))
+    texts = list(dict.fromkeys(texts))
+    got = given_sketches(spark, texts, [[1, 2, 100 + i] for i in range(len(texts))])
+    want = brute_groups(texts)
+    assert len(set(want)) >= 6
+    assert len({(want[i], got[i]) for i in got}) == len(set(want)) == len(set(got.values()))
+
+
 def test_alignment_keeps_the_order():
     words = prose(7, 200).split()
     mark = lambda w: near_dedup.labelled_shingles(near_dedup.word_codes(" ".join(w)))
