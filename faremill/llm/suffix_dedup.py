@@ -7,12 +7,16 @@ A byte goes if a ``LENGTH``-byte string that covers it also starts somewhere els
    corpus can repeat; counting anchors is combined before the shuffle. No repeat is lost.
 2. Regions. The bytes that such a stretch needs are cut out; equal regions are collapsed to one with a count, so a passage
    that millions of texts share is one row.
+   The regions of an anchor that hold more than ``ANCHOR_BYTES`` are refined: a window that starts at most b and at least a
+   bytes before its anchor holds the a bytes before it and the LENGTH - GRAM - b bytes behind it, so windows are dealt by the two halves of
+   that range and by a digest of the bytes they must hold. Equal windows stay together, parts that stand alone go, and equal
+   parts are collapsed; this goes on until every group fits. A range of one place leaves only equal windows, which are one row.
 3. Suffix ranks. Regions are dealt to shards by anchor. In a shard all starts are ranked by their first 8
    bytes, then by doubling (16, 32, ... bytes) up to ``LENGTH``: starts of equal rank share that prefix.
    Only starts that still share a rank with another one are ranked further.
 4. The covered runs go back to every occurrence of a region and are cut out of the texts.
 
-Shards are sized by bytes; the regions of one anchor stay together. Null and empty texts have no
+Shards are sized by bytes; the regions of one anchor, or of one part of a refined anchor, stay together. Null and empty texts have no
 bytes; texts shorter than ``LENGTH`` lose nothing. Rows that repeat id and text are two texts, which remove each other. Very long
 texts are sieved in overlapping slices. Judged on the input, not on what is left.
 """
@@ -35,6 +39,7 @@ LENGTH = 400
 GRAM = 200
 SLICE = 1 << 21
 SHARD_BYTES = 4 << 20
+ANCHOR_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = np.uint64((1 << 23) - 1)
 
@@ -52,8 +57,8 @@ def _powers(base: int) -> np.ndarray:
     return powers
 
 
-def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretches of starts with one anchor: first start, last start, digest. ``data`` has LENGTH bytes at least."""
+def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of starts with one anchor: first start, last start, place and digest of the anchor. ``data`` has LENGTH bytes at least."""
     n = len(data)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE)[:n], out=sums[1:])
@@ -68,26 +73,26 @@ def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts = n - LENGTH + 1
     place = (np.minimum(behind[:starts], ahead[width - 1 : width - 1 + starts]) & _PLACE).astype(np.int64)
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    return first, np.r_[first[1:], starts] - 1, grams[place[first]].view(np.int64)
+    return first, np.r_[first[1:], starts] - 1, place[first], grams[place[first]].view(np.int64)
 
 
 def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, firsts, lasts, anchors = [], [], [], []
+        rows, firsts, lasts, places, anchors = [], [], [], [], []
         for row, one in enumerate(batch.column(2)):
             data = np.frombuffer(one.as_py(), np.uint8)
             for begin in range(0, len(data) - LENGTH + 1, SLICE):
-                first, last, anchor = _anchors(data[begin : begin + SLICE + LENGTH - 1])
+                first, last, place, anchor = _anchors(data[begin : begin + SLICE + LENGTH - 1])
                 rows.append(np.full(len(first), row))
                 firsts.append(first + begin)
                 lasts.append(last + begin)
+                places.append(place + begin)
                 anchors.append(anchor)
         if rows:
             take = pa.array(np.concatenate(rows))
-            made = [pa.array(np.concatenate(x)) for x in (firsts, lasts, anchors)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), *made], ["k1", "k2", "first", "last", "anchor"]
-            )
+            made = [pa.array(np.concatenate(x)) for x in (firsts, lasts, places, anchors)]
+            names = ["k1", "k2", "first", "last", "place", "anchor"]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *made], names)
 
 
 def equal_prefixes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -173,30 +178,93 @@ def _keys(docs: DataFrame, text: str) -> list[Column]:
     return [F.xxhash64(F.col("doc_id"), F.lit("id")).alias("k1"), F.xxhash64(text_or_empty(F.col(text))).alias("k2")]
 
 
-def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(k1, k2, spans): byte runs (begin, stop) to remove from each text that has any; they may overlap."""
+def _regions(docs: DataFrame, text: str) -> DataFrame:
+    """(k1, k2, first, anchor, at, bytes, region) of the stretches whose anchor occurs twice; ``at`` is the anchor's place in the bytes."""
     data = text_or_empty(F.col(text)).cast("binary")
     keyed = docs.select(*_keys(docs, text), data.alias("bytes"))
-    stretches = cut_lineage(keyed.mapInArrow(_sieve, "k1 long, k2 long, first long, last long, anchor long"))
+    schema = "k1 long, k2 long, first long, last long, place long, anchor long"
+    stretches = cut_lineage(keyed.mapInArrow(_sieve, schema))
     twice = stretches.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     held = stretches.join(cut_lineage(twice), "anchor")
-    stretch = F.struct("first", "last", "anchor")
+    stretch = F.struct("first", "last", "place", "anchor")
     wanted = cut_lineage(held.groupBy("k1", "k2").agg(F.collect_set(stretch).alias("stretches")))  # of one text
     cut = keyed.join(wanted, ["k1", "k2"]).select("k1", "k2", "bytes", F.explode("stretches").alias("s"))
     size = (F.col("s.last") - F.col("s.first") + LENGTH).cast("int")
     piece = F.substring(F.col("bytes"), (F.col("s.first") + 1).cast("int"), size)
-    regions = cut.select("k1", "k2", F.col("s.first").alias("first"), F.col("s.anchor").alias("anchor"), piece.alias("bytes"))
-    regions = cut_lineage(regions.withColumn("region", F.md5("bytes")))
-    distinct = regions.groupBy("anchor", "region").agg(F.first("bytes").alias("bytes"), F.count("*").alias("copies"))
-    distinct = cut_lineage(distinct)
-    total = distinct.agg(F.sum(F.length("bytes"))).first()[0] or 0
+    at = (F.col("s.place") - F.col("s.first")).cast("int")
+    regions = cut.select("k1", "k2", F.col("s.first").alias("first"), F.col("s.anchor").alias("anchor"), at.alias("at"), piece.alias("bytes"))
+    return cut_lineage(regions.withColumn("region", F.md5("bytes")))
+
+
+def _distinct(regions: DataFrame) -> DataFrame:
+    alike = F.first("bytes").alias("bytes"), F.first("at").alias("at"), F.count("*").alias("copies")
+    return cut_lineage(regions.groupBy("anchor", "region").agg(*alike))
+
+
+def _halves(rows: DataFrame) -> DataFrame:
+    """Parts of regions whose starts lie ``low`` to ``high`` bytes before the anchor, by the halves of that range."""
+    middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+    both = F.array(F.struct(F.col("low").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("high").alias("b")))
+    halved = rows.withColumn("half", F.explode(both)).withColumns({"a": F.col("half.a"), "b": F.col("half.b")})
+    farthest = F.least("b", "at")
+    nearest = F.greatest(F.col("a"), F.col("at") - F.length("bytes") + LENGTH)
+    placed = halved.withColumns({"far": farthest, "near": nearest}).filter("far >= near")
+    skipped = F.col("at") - F.col("far")
+    piece = F.substring(F.col("bytes"), skipped + 1, F.col("far") - F.col("near") + LENGTH)
+    core = F.substring(F.col("bytes"), F.col("at") - F.col("a") + 1, F.col("a") - F.col("b") + LENGTH)
+    return placed.select(
+        F.xxhash64("anchor", F.md5(core), "a", "b").alias("anchor"),
+        "region",
+        (F.col("shift") + skipped).alias("shift"),
+        piece.alias("bytes"),
+        F.col("far").alias("at"),
+        "copies",
+        F.col("a").alias("low"),
+        F.col("b").alias("high"),
+    ).withColumn("part", F.md5("bytes"))
+
+
+def _fitting(distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups that fit, (anchor, part, bytes, copies), and where the parts lie, (region, part, shift)."""
+    rows = distinct.withColumns(
+        {"part": F.col("region"), "shift": F.lit(0), "low": F.lit(0), "high": F.lit(LENGTH - GRAM)}
+    )
+    parts, ready, places = rows, [], []
+    while True:
+        size = F.sum(F.length("bytes")).alias("size")
+        sizes = parts.groupBy("anchor").agg(size, F.min("low").alias("low"), F.max("high").alias("high"))
+        large = cut_lineage(sizes.filter((F.col("size") > ANCHOR_BYTES) & (F.col("low") < F.col("high"))).select("anchor"))
+        last = large.isEmpty()
+        fits, fit_rows = (x if last else x.join(large, "anchor", "left_anti") for x in (parts, rows))
+        ready.append(fits.select("anchor", "part", "bytes", "copies"))
+        places.append(fit_rows.select("region", "part", "shift"))
+        if last:
+            return functools.reduce(DataFrame.union, ready), functools.reduce(DataFrame.union, places)
+        halves = cut_lineage(_halves(rows.join(large, "anchor")))
+        shared = halves.groupBy("anchor").agg(F.sum("copies").alias("n")).filter("n > 1").select("anchor")
+        rows = cut_lineage(halves.join(cut_lineage(shared), "anchor"))
+        alike = F.first("bytes").alias("bytes"), F.sum("copies").alias("copies"), F.first("low").alias("low"), F.first("high").alias("high")
+        parts = cut_lineage(rows.groupBy("anchor", "part").agg(*alike))
+
+
+def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(k1, k2, spans): byte runs (begin, stop) to remove from each text that has any; they may overlap."""
+    regions = _regions(docs, text)
+    groups, places = _fitting(_distinct(regions))
+    total = groups.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shard = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // SHARD_BYTES))))
-    found = distinct.withColumn("shard", shard).groupBy("shard").applyInArrow(_shard, "region string, begin long, stop long")
-    runs = cut_lineage(found.distinct().groupBy("region").agg(F.collect_list(F.struct("begin", "stop")).alias("runs")))
+    dealt = groups.withColumnRenamed("part", "region").withColumn("shard", shard)
+    found = dealt.groupBy("shard").applyInArrow(_shard, "region string, begin long, stop long").withColumnRenamed("region", "part")
+    found = cut_lineage(found.distinct().groupBy("part").agg(F.collect_list(F.struct("begin", "stop")).alias("runs")))
+
+    def moved(by: str) -> Column:
+        return F.transform("runs", lambda r: F.struct((r["begin"] + F.col(by)).alias("begin"), (r["stop"] + F.col(by)).alias("stop")))
+
+    whole = places.distinct().join(found, "part").select("region", moved("shift").alias("runs"))
+    runs = cut_lineage(whole.groupBy("region").agg(F.flatten(F.collect_list("runs")).alias("runs")))
     # distinct: rows that repeat id and text have the same places
     hits = regions.select("k1", "k2", "first", "region").distinct().join(runs, "region")
-    moved = F.transform("runs", lambda r: F.struct((r["begin"] + F.col("first")).alias("begin"), (r["stop"] + F.col("first")).alias("stop")))
-    return hits.groupBy("k1", "k2").agg(F.flatten(F.collect_list(moved)).alias("spans"))
+    return hits.groupBy("k1", "k2").agg(F.flatten(F.collect_list(moved("first"))).alias("spans"))
 
 
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:

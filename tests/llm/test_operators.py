@@ -170,6 +170,20 @@ def test_repeated_bytes_of_odd_rows(spark, nothing):
     assert suffix_dedup.with_spans(nothing).count() == 0
 
 
+def test_regions_of_one_anchor_are_refined_until_they_fit(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "ANCHOR_BYTES", 3000)
+    shared, shifted = prose(70, 110), prose(71, 60)
+    texts = [prose(80 + i, 60) + shared + prose(120 + i, 60) for i in range(24)]
+    texts += [prose(160 + i, 50) + shifted[:60] + shared[:350] + prose(180 + i % 3, 60) for i in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in suffix_dedup.with_spans(docs).collect()}
+    for i, (_, spans, kept) in enumerate(brute_spans(texts, 400)):
+        assert bytes(rows[i]._kept) == kept and len(rows[i]._spans or []) == spans
+    regions = suffix_dedup._distinct(suffix_dedup._regions(docs, "text"))
+    held = lambda groups: groups.groupBy("anchor").agg(F.sum(F.length("bytes")).alias("n")).agg(F.max("n")).first()[0]
+    assert held(regions) > 3000 >= held(suffix_dedup._fitting(regions)[0])
+
+
 def test_rules_and_listed_urls(spark):
     given = ["http://WWW.Example.com/en/a?x#y", "https://m.example.com/en/", "http://a.net/es/1", "x.net/es/", None, "://", "http://notexample.com/en/", "http://b.org/p/?utm_a=1&q=2", "http://www.b.org/p?q=2#z"]
     rows = spark.createDataFrame(list(enumerate(given)), "page_id int, url string").withColumn("listed", F.lit("clash"))
