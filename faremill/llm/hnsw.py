@@ -183,7 +183,7 @@ def index(rows: DataFrame, k: int, vector: str = "embedding", name: str = "vec_i
         .withColumn("dim", F.size("vector"))
     )
     counts = distinct.groupBy("dim").agg(F.ceil(F.count("*") / SHARD).cast("bigint").alias("shards"))
-    dealt = distinct.join(F.broadcast(counts.limit(1000)), "dim").withColumn(
+    dealt = distinct.join(counts, "dim").withColumn(
         "shard", F.concat_ws("-", "dim", F.pmod(F.xxhash64("node"), F.col("shards")))
     )
 

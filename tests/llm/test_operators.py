@@ -249,6 +249,11 @@ def test_nearest_recall(spark):
     assert hits >= 0.9 * sum(map(len, got.values()))
 
 
+def test_vectors_of_every_length_are_indexed(spark):
+    rows = spark.createDataFrame([(i, [1.0] * i) for i in range(1, 1006)], "vec_id long, embedding array<double>")
+    assert hnsw.index(rows, 5).select("dim").distinct().count() == 1005
+
+
 def held(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 5 == 0
 
