@@ -8,11 +8,11 @@ either class (a voter that does not fire abstains), and the correlation of voter
 classifier (logistic regression on the presence of words and word beginnings) is trained on the posterior
 labels, so that it also learns entries that no voter lists. Labels only serve to list entries and to start the class balance.
 
-The fit uses a bounded sample: the ``TRAIN_ROWS`` labelled rows of smallest digest of their id, in one
-task. Scoring covers whole texts of all rows; the model is at most ``FEATURES`` weights.
+The fit uses a bounded sample: the ``TRAIN_ROWS`` labels of smallest digest of their id, in one
+task; of documents that repeat an id, the text of smallest digest is learnt from. Scoring covers whole texts of all rows; the model is at most ``FEATURES`` weights.
 
 Null and empty texts get the score of a text without any feature. Rows without a label are not learnt
-from. Without a toxic or a clean labelled row the score is the share of toxic labels (0 without labels). Repeated rows count each.
+from. Without a toxic or a clean labelled row the score is the share of toxic labels (0 without labels). Repeated rows are scored each; repeated labels and ids are learnt from once.
 """
 
 from __future__ import annotations
@@ -148,17 +148,18 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> dict:
     """Fit on ``docs`` (doc_id, text) with ``labels`` (doc_id, toxic); the model is a dict of weights and bias."""
     bounded_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).filter("toxic is not null and id is not null")
-    chosen = known.orderBy(F.xxhash64("id"), "id", "toxic").limit(TRAIN_ROWS)  # 12 bytes a row: below 200 KB
+    chosen = known.distinct().orderBy(F.xxhash64("id"), "id", "toxic").limit(TRAIN_ROWS)  # 12 bytes a row: below 200 KB
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
-    sample = cut_lineage(rows.select("id", "text", "toxic")).coalesce(1)
+    # one text for each label, combined before the shuffle: a hot id is one row, whichever of its rows come first
+    single = rows.groupBy("id", "toxic").agg(F.min_by("text", F.md5("text")).alias("text"))
+    sample = cut_lineage(single.select("id", "text", "toxic")).coalesce(1)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for batch in batches:
             for ident, one, label in zip(*batch.columns, strict=True):
                 value = one.as_py()
-                if len(found) < 2 * TRAIN_ROWS:  # more only where ids repeat in the documents
-                    found.append((ident.as_py(), sorted(_features(_words(value))), _capitals(value), label.as_py() == 1))
+                found.append((ident.as_py(), sorted(_features(_words(value))), _capitals(value), label.as_py() == 1))
         found.sort()
         sets = [set(row[1]) for row in found]
         toxic = np.array([row[3] for row in found], bool)

@@ -281,6 +281,16 @@ def test_toxicity_of_held_out_rows(spark, odd, nothing):
         assert all(0 <= r.s <= 1 for r in odd.select(toxicity.score(spark, model, F.col("text")).alias("s")).collect())
 
 
+def test_copies_of_a_labelled_id_are_learnt_from_once(spark):
+    once = [(i, prose(i, 30) + (" you idiot" if i % 2 else "")) for i in range(40)]
+    copies = [(1, prose(200 + i, 20) + " overrun") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    least = min((text for i, text in once + copies if i == 1), key=lambda text: hashlib.md5(text.encode()).hexdigest())
+    single = [(i, least if i == 1 else text) for i, text in once]
+    fit = lambda rows: toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert fit(once + copies) == fit(copies[::-1] + once) == fit(single)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(10, 40)] + [(100, i) for i in range(101, 160)] + [(5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
