@@ -7,10 +7,24 @@ import hashlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe, embed_dedup, hnsw, language, lines, mixing, near_dedup, suffix_dedup, toxicity, urls
+from faremill.llm import (
+    bpe,
+    embed_dedup,
+    hnsw,
+    language,
+    lexical,
+    lines,
+    mixing,
+    near_dedup,
+    periodic,
+    sentence_pieces,
+    suffix_dedup,
+    toxicity,
+    urls,
+)
 from faremill.llm.common import bounded_batches, held_out, table
 from faremill.session import cut_lineage
 
@@ -152,3 +166,85 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.size("_spans"), F.lit(0)).cast("bigint").alias("n_spans"),
         F.sha2("_kept", 256).alias("kept_sha256"),
     )
+
+
+#: Every tenth document by the digest of its id is given a loop of words, so that the operator has runs of every period to find.
+LOOPED_OF = 10
+
+
+def looped(doc_id: Column, text: Column) -> Column:
+    """The text with words in a loop where the id's crc32 leaves no remainder by ten (a null id counts as the empty text)."""
+
+    @F.arrow_udf("string")
+    def with_loop(texts: pa.Array, crcs: pa.Array) -> pa.Array:
+        out: list[bytes | None] = []
+        for one, crc in zip(texts, crcs, strict=True):
+            words = periodic.split_words(one.as_py())
+            if words:
+                n, g = len(words), crc.as_py() // LOOPED_OF
+                first = g % n
+                period = 1 + (n - first) // (3 + g % 8)
+                words[first:] = [words[first + i % period] for i in range(n - first)]
+            out.append(b" ".join(words))
+        return pa.array(out, pa.binary()).cast(pa.string())
+
+    crc = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    chosen = crc % LOOPED_OF == 0
+    return F.when(chosen, with_loop(F.when(chosen, text), crc)).otherwise(text)
+
+
+@registered
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every whole text, and the digest of the text without the repeated periods."""
+    bounded_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", looped(F.col("doc_id"), F.col("text")).alias("text"))
+    made = docs.select("doc_id", periodic.runs(F.col("text")).alias("made")).select("doc_id", "made.*")
+    written = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    # greatest length, then smallest start, then smallest period
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("period"))))
+    return made.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-longest["before"]).alias("start"),
+        longest["length"].alias("length"),
+        (-longest["period"]).alias("period"),
+        F.floor(F.lit(1000) * longest["length"] / -longest["period"]).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", written).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@registered
+def op12_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL) -> DataFrame:
+    """Digests of the piece ids of every whole text and of the text they decode to."""
+
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digests(texts: pa.Array) -> pa.Array:
+        pieces = sentence_pieces.model(model)
+        decimal = [str(number).encode() for number in range(pieces.size)]
+        rows: list[tuple[int, str, str]] = []
+        for part in bpe.slices(texts):
+            for raw in pieces.encode_batch(part):
+                ids = np.frombuffer(raw, np.int32)
+                written = b",".join(map(decimal.__getitem__, ids.tolist()))
+                decoded = pieces.decode_one(ids).encode()
+                rows.append((len(ids), hashlib.sha256(written).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+        kinds = (pa.int64(), pa.string(), pa.string())
+        columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
+        return pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    bounded_batches(spark)
+    return table(spark, sf_dir, "documents").select("doc_id", digests("text").alias("made")).select("doc_id", "made.*")
+
+
+FOUND_PER_ITEM = 50
+
+
+@registered
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents of highest score for every benchmark item."""
+    built = lexical.index(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lexical.search(built, table(spark, sf_dir, "benchmark").select("item_id", "text"), FOUND_PER_ITEM)

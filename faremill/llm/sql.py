@@ -127,4 +127,88 @@ SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, h.component_id, e.vec_id =
 FROM embeddings e JOIN heads h ON e.vec_id = h.a LEFT JOIN counts c ON e.vec_id = c.a
 """
 
-LLM_SQL: dict[str, str] = {"op4_urls": OP4, "op5_lines": OP5, "op7_mixing": OP7, "op8_embed_dedup": OP8}
+#: Runs by comparing all words of one document that are up to a quarter of it apart.
+OP11 = r"""
+WITH given AS (
+  SELECT row_number() OVER () AS row_nr, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS given_words,
+         CASE WHEN doc_id IS NULL THEN 0::BIGINT ELSE
+           xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ord(d)::BIGINT),
+               lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, k: xor(x >> 1, 3988292384::BIGINT * (x & 1)))),
+               4294967295::BIGINT) END AS h
+  FROM documents
+), shaped AS (
+  SELECT *, len(given_words) AS n, h // 10 AS g,
+         CASE WHEN h % 10 = 0 AND len(given_words) > 0 THEN (h // 10) % len(given_words) ELSE len(given_words) END AS a
+  FROM given
+), looped AS (
+  SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM shaped
+), words AS (
+  SELECT row_nr, n, unnest(range(n)) AS i,
+         unnest(list_transform(range(n), lambda i: given_words[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END])) AS word
+  FROM looped
+), equal AS (
+  SELECT x.row_nr, x.i, y.i - x.i AS q
+  FROM words x JOIN words y ON x.row_nr = y.row_nr AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT row_nr, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY row_nr, q ORDER BY i) AS island FROM equal)
+  GROUP BY row_nr, q, island
+  HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT row_nr, start, length, min(q) AS period FROM islands GROUP BY row_nr, start, length
+), listed AS (
+  SELECT row_nr, count(*) AS n_runs,
+         arg_max(struct_pack(s := start, l := length, p := period), (length, -start, -period)) AS longest,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS written
+  FROM runs GROUP BY row_nr
+), left_over AS (
+  SELECT row_nr, string_agg(word, ' ' ORDER BY i) AS collapsed
+  FROM words w
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.row_nr = w.row_nr AND w.i >= r.start + r.period AND w.i < r.start + r.length)
+  GROUP BY row_nr
+)
+SELECT g.doc_id, coalesce(l.n_runs, 0)::BIGINT AS n_runs, l.longest.s::BIGINT AS start, l.longest.l::BIGINT AS length,
+       l.longest.p::BIGINT AS period, (1000 * l.longest.l // l.longest.p)::BIGINT AS exponent_milli,
+       sha256(coalesce(l.written, '')) AS runs_sha256, sha256(coalesce(o.collapsed, '')) AS collapsed_sha256
+FROM given g LEFT JOIN listed l ON g.row_nr = l.row_nr LEFT JOIN left_over o ON g.row_nr = o.row_nr
+"""
+
+#: Every document scored for every item.
+OP13 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_nr, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), corpus AS (
+  SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs
+), held AS (
+  SELECT row_nr, doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT row_nr, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) GROUP BY ALL
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), weighed AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM held, corpus WHERE term IN (SELECT term FROM asked) GROUP BY term, n_docs
+), scored AS (
+  SELECT a.item_id, h.row_nr, any_value(h.doc_id) AS doc_id,
+         sum(w.w * ((1000000000 * h.tf) // (1000 * h.tf + 20 * (50 + (50 * h.n * c.n_docs) // c.n_terms))))::BIGINT AS score
+  FROM asked a JOIN weighed w ON a.term = w.term JOIN held h ON a.term = h.term, corpus c
+  GROUP BY a.item_id, h.row_nr
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50
+"""
+
+LLM_SQL: dict[str, str] = {
+    "op4_urls": OP4,
+    "op5_lines": OP5,
+    "op7_mixing": OP7,
+    "op8_embed_dedup": OP8,
+    "op11_periodic_runs": OP11,
+    "op13_lexical_search": OP13,
+}
