@@ -32,3 +32,11 @@ def bounded_batches(spark: SparkSession) -> None:
     name, unset = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 30
     if int(spark.conf.get(name, str(2**31 - 1)).rstrip("b")) > unset:
         spark.conf.set(name, str(BATCH_BYTES))
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, with underscores before it until no given column has it."""
+    lower = {one.lower() for one in taken}
+    while name.lower() in lower:
+        name = "_" + name
+    return name

@@ -115,15 +115,17 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated lines of every whole text: how many, where (character offsets), and what stays."""
+    """Repeated passages of every whole text: how many spans, where (character offsets), and the text that stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = lines.with_repeats(docs)
-    written = F.transform("_removed", lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string")))
+    written = F.transform("repeats.removed", lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string")))
+    kept = F.coalesce("repeats.kept", F.lit(""))
     return cut.select(
         "doc_id",
-        F.coalesce(F.size("_removed"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce(F.array_join(written, ","), F.lit("")).alias("removed"),
-        F.sha2(F.coalesce("_kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+        F.size("repeats.removed").cast("bigint").alias("n_removed"),
+        F.array_join(written, ",").alias("removed"),
+        F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
+        kept.alias("text"),
     )
 
 
@@ -162,9 +164,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(
         "doc_id",
         n_bytes.alias("n_bytes"),
-        (n_bytes - F.length("_kept")).alias("n_removed"),
-        F.coalesce(F.size("_spans"), F.lit(0)).cast("bigint").alias("n_spans"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
+        (n_bytes - F.length("cut.kept")).alias("n_removed"),
+        F.coalesce(F.size("cut.spans"), F.lit(0)).cast("bigint").alias("n_spans"),
+        F.sha2("cut.kept", 256).alias("kept_sha256"),
+        # a character that a span cuts in two is shown as U+FFFD
+        F.make_valid_utf8(F.col("cut.kept").cast("string")).alias("text"),
     )
 
 

@@ -76,34 +76,76 @@ OP7 = "WITH " + MIXED.format(docs="documents") + """
 SELECT doc_id, size, source_size, target, (repeats * size)::BIGINT AS taken FROM mixed
 """
 
-#: Lines of at least five words; the first by (id, digest of the text, line number) of equal ones stays.
-LINES = r"""
-keyed AS (
-  SELECT row_number() OVER () AS row_nr, *,
-         md5(coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')) AS doc_key,
-         string_split(coalesce(text, ''), chr(10)) AS lines
-  FROM {docs}
-), unit AS (
-  SELECT row_nr, doc_id, doc_key, generate_subscripts(lines, 1) AS nth, unnest(lines) AS line FROM keyed
+#: Windows of units of at least 120 characters; the first by (id, digest of the text, number of the unit) of equal ones stays.
+OP5 = r"""
+WITH keyed AS (
+  SELECT row_number() OVER () AS row_nr, doc_id, coalesce(text, '') AS text,
+         md5(coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')) AS doc_key
+  FROM documents
+), pieces AS (
+  SELECT row_nr, generate_subscripts(p, 1) AS nth, unnest(p) AS piece
+  FROM (SELECT row_nr, regexp_extract_all(text,
+          '[\x09-\x0D\x20\x{A0}\x{3000}]+|[^\x09-\x0D\x20\x{A0}\x{3000}。！？，、]+[。！？，、]*|[。！？，、]+') AS p FROM keyed)
 ), placed AS (
-  SELECT *, sum(length(line) + 1) OVER (PARTITION BY row_nr ORDER BY nth) - length(line) - 1 AS start,
-         trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm
+  SELECT *, sum(length(piece)) OVER (PARTITION BY row_nr ORDER BY nth) - length(piece) AS start,
+         regexp_matches(piece, '^[\x09-\x0D\x20\x{A0}\x{3000}]') AS gap,
+         lead(piece) OVER (PARTITION BY row_nr ORDER BY nth) AS behind
+  FROM pieces
+), words AS (
+  SELECT row_nr, nth, start, start + length(piece) AS stop, lower(piece) AS word, length(piece) + 1 AS size,
+         CASE WHEN regexp_matches(behind, '^[\x09-\x0D\x20\x{A0}\x{3000}]') THEN behind ELSE '' END AS after_it
+  FROM placed WHERE NOT gap
+), ended AS (
+  SELECT *, contains(after_it, chr(10)) AS breaks,
+         contains(after_it, chr(10)) OR md5(word) < '18' OR length(word) > 24
+         OR lead(nth) OVER (PARTITION BY row_nr ORDER BY nth) IS NULL AS ends
+  FROM words
+), numbered AS (
+  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY row_nr ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS unit
+  FROM ended
+), unit AS (
+  SELECT row_nr, unit, min(start) AS start, max(stop) AS stop, max(stop + length(after_it)) AS following, bool_or(breaks) AS breaks,
+         sum(size) AS size, string_agg(word, ' ' ORDER BY nth) AS norm
+  FROM numbered GROUP BY row_nr, unit
+), summed AS (
+  SELECT *, sum(size) OVER (PARTITION BY row_nr ORDER BY unit) AS until,
+         coalesce(lag(breaks) OVER (PARTITION BY row_nr ORDER BY unit), true) AS opens
   FROM unit
+), listed AS (
+  SELECT row_nr, list(norm ORDER BY unit) AS norms FROM unit GROUP BY row_nr
+), reach AS (
+  SELECT a.row_nr, a.unit AS first, min(b.unit) AS last
+  FROM summed a JOIN summed b ON a.row_nr = b.row_nr AND b.unit BETWEEN a.unit AND a.unit + 60 AND b.until - a.until + a.size >= 120
+  GROUP BY a.row_nr, a.unit
+  UNION
+  SELECT b.row_nr, max(a.unit), b.unit
+  FROM summed a JOIN summed b ON a.row_nr = b.row_nr AND a.unit BETWEEN b.unit - 60 AND b.unit AND b.until - a.until + a.size >= 120
+  WHERE b.breaks OR b.unit = (SELECT max(unit) FROM summed l WHERE l.row_nr = b.row_nr)
+  GROUP BY b.row_nr, b.unit
 ), judged AS (
-  SELECT *, len(string_split(norm, ' ')) >= 5 AND
-         dense_rank() OVER (PARTITION BY norm ORDER BY doc_id NULLS LAST, doc_key, nth) > 1 AS gone
-  FROM placed
+  SELECT r.row_nr, r.first, r.last,
+         dense_rank() OVER (PARTITION BY array_to_string(list_slice(l.norms, r.first, r.last), ' ')
+                            ORDER BY k.doc_id NULLS LAST, k.doc_key, r.first) > 1 AS later
+  FROM reach r JOIN listed l ON r.row_nr = l.row_nr JOIN keyed k ON r.row_nr = k.row_nr
+), gone AS (
+  SELECT DISTINCT s.row_nr, s.unit, s.start, s.stop, s.following, s.breaks, s.opens
+  FROM summed s JOIN judged j ON j.later AND s.row_nr = j.row_nr AND s.unit BETWEEN j.first AND j.last
+), islands AS (
+  SELECT *, unit - row_number() OVER (PARTITION BY row_nr ORDER BY unit) AS island FROM gone
+), spans AS (
+  SELECT row_nr, min(start)::BIGINT AS start,
+         CASE WHEN arg_max(breaks, unit) AND NOT arg_min(opens, unit) THEN max(stop) ELSE max(following) END::BIGINT AS stop
+  FROM islands GROUP BY row_nr, island
 ), cut AS (
-  SELECT row_nr, count(*) FILTER (gone) AS n_removed,
-         coalesce(string_agg(start::BIGINT || '-' || (start + length(line))::BIGINT, ',' ORDER BY nth) FILTER (gone), '') AS removed,
-         coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT gone), '') AS kept
-  FROM judged GROUP BY row_nr
+  SELECT row_nr, count(*) AS n_removed, string_agg(start || '-' || stop, ',' ORDER BY start) AS removed,
+         string_agg(substr(text, before + 1, start - before), '' ORDER BY start) || substr(any_value(text), max(stop) + 1) AS kept
+  FROM (SELECT s.*, k.text, coalesce(lag(s.stop) OVER (PARTITION BY s.row_nr ORDER BY s.start), 0) AS before
+        FROM spans s JOIN keyed k ON s.row_nr = k.row_nr)
+  GROUP BY row_nr
 )
-"""
-
-OP5 = "WITH " + LINES.format(docs="documents") + """
-SELECT k.doc_id, c.n_removed, c.removed, sha256(c.kept) AS kept_sha256
-FROM keyed k JOIN cut c ON k.row_nr = c.row_nr
+SELECT k.doc_id, coalesce(c.n_removed, 0)::BIGINT AS n_removed, coalesce(c.removed, '') AS removed,
+       sha256(coalesce(c.kept, k.text)) AS kept_sha256, coalesce(c.kept, k.text) AS text
+FROM keyed k LEFT JOIN cut c ON k.row_nr = c.row_nr
 """
 
 OP8 = """

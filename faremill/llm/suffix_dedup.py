@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.common import bounded_batches, text_or_empty
+from faremill.llm.common import bounded_batches, free_name, text_or_empty
 from faremill.llm.near_dedup import mix
 from faremill.session import cut_lineage
 
@@ -252,8 +252,9 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     regions = _regions(docs, text)
     groups, places = _fitting(_distinct(regions))
     total = groups.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    shard = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // SHARD_BYTES))))
-    dealt = groups.withColumnRenamed("part", "region").withColumn("shard", shard)
+    shards = max(1, -(-total // SHARD_BYTES))
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards))
+    dealt = groups.withColumnRenamed("part", "region").withColumn("shard", shard).repartition(shards, "shard")
     found = dealt.groupBy("shard").applyInArrow(_shard, "region string, begin long, stop long").withColumnRenamed("region", "part")
     found = cut_lineage(found.distinct().groupBy("part").agg(F.collect_list(F.struct("begin", "stop")).alias("runs")))
 
@@ -267,19 +268,23 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     return hits.groupBy("k1", "k2").agg(F.flatten(F.collect_list(moved("first"))).alias("spans"))
 
 
-def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``_spans`` (null: nothing to remove), maximal runs of bytes in order, and ``_kept``, the bytes left."""
+def with_spans(docs: DataFrame, text: str = "text", made: str = "cut") -> DataFrame:
+    """The rows of ``docs`` with a column ``made``: ``spans`` (null: nothing to remove), maximal runs of bytes in order, and ``kept``, the bytes left.
+
+    ``made`` must not be a column of ``docs``; other names of our own give way to given ones.
+    """
     bounded_batches(docs.sparkSession)
-    spans = cut_lineage(repeated_spans(docs, text)).withColumnsRenamed({"k1": "_k1", "k2": "_k2", "spans": "_given"})
+    one, two, raw, given = (free_name(name, docs.columns) for name in ("k1", "k2", "bytes", "given"))
+    spans = cut_lineage(repeated_spans(docs, text)).select(F.col("k1").alias(one), F.col("k2").alias(two), F.col("spans").alias(given))
     k1, k2 = _keys(docs, text)
-    keyed = docs.withColumns({"_k1": k1, "_k2": k2, "_bytes": text_or_empty(F.col(text)).cast("binary")})
-    joined = keyed.join(spans, ["_k1", "_k2"], "left")
+    keyed = docs.withColumns({one: k1, two: k2, raw: text_or_empty(F.col(text)).cast("binary")})
+    joined = keyed.join(spans, [one, two], "left")
 
     @F.arrow_udf("spans array<struct<begin:bigint,stop:bigint>>, kept binary")
-    def cut_out(raw: pa.Array, given: pa.Array) -> pa.Array:
+    def cut_out(texts: pa.Array, lists: pa.Array) -> pa.Array:
         kept, merged = [], []
-        for one, gone in zip(raw, given, strict=True):
-            data, left, at, runs = one.as_py(), [], 0, []
+        for whole, gone in zip(texts, lists, strict=True):
+            data, left, at, runs = whole.as_py(), [], 0, []
             for begin, stop in sorted((g["begin"], g["stop"]) for g in gone.as_py() or []):
                 if runs and begin <= runs[-1]["stop"]:
                     runs[-1]["stop"] = max(runs[-1]["stop"], stop)
@@ -288,11 +293,13 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
             for run in runs:
                 left.append(data[at : run["begin"]])
                 at = run["stop"]
-            kept.append(b"".join([*left, data[at:]]))
+            kept.append(b"".join([*left, data[at:]]) if data is not None else None)
             merged.append(runs)
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("stop", pa.int64())]))
         return pa.StructArray.from_arrays([pa.array(merged, kind), pa.array(kept, pa.binary())], ["spans", "kept"])
 
-    made = F.when(F.col("_given").isNotNull(), cut_out("_bytes", "_given"))
-    out = joined.select(*docs.columns, "_bytes", made.alias("_made"))
-    return out.select(*docs.columns, F.col("_made.spans").alias("_spans"), F.coalesce("_made.kept", "_bytes").alias("_kept"))
+    # texts that lose nothing do not go to Python
+    some = F.col(given).isNotNull()
+    cut = F.when(some, cut_out(F.when(some, F.col(raw)), given))
+    out = joined.select(*docs.columns, raw, cut.alias(given))
+    return out.select(*docs.columns, F.struct(F.col(given)["spans"].alias("spans"), F.coalesce(F.col(given)["kept"], raw).alias("kept")).alias(made))

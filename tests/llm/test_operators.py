@@ -166,7 +166,7 @@ def test_repeated_bytes_of_odd_rows(spark, nothing):
     odd = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(8, texts[8]), (None, texts[7])], "doc_id long, text string")
     rows = suffix_dedup.with_spans(odd).collect()
     want = collections.Counter(kept for _, _, kept in brute_spans([r.text for r in rows], 400))
-    assert collections.Counter(bytes(r._kept) for r in rows) == want
+    assert collections.Counter(bytes(r.cut.kept) for r in rows) == want
     assert suffix_dedup.with_spans(nothing).count() == 0
 
 
@@ -178,7 +178,7 @@ def test_regions_of_one_anchor_are_refined_until_they_fit(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = {r.doc_id: r for r in suffix_dedup.with_spans(docs).collect()}
     for i, (_, spans, kept) in enumerate(brute_spans(texts, 400)):
-        assert bytes(rows[i]._kept) == kept and len(rows[i]._spans or []) == spans
+        assert bytes(rows[i].cut.kept) == kept and len(rows[i].cut.spans or []) == spans
     regions = suffix_dedup._distinct(suffix_dedup._regions(docs, "text"))
     held = lambda groups: groups.groupBy("anchor").agg(F.sum(F.length("bytes")).alias("n")).agg(F.max("n")).first()[0]
     assert held(regions) > 3000 >= held(suffix_dedup._fitting(regions)[0])
@@ -198,12 +198,51 @@ def test_rules_and_listed_urls(spark):
 
 def test_lines(odd, nothing):
     cut = {r.doc_id: r for r in lines.with_repeats(odd).collect() if r.doc_id is not None}
-    assert cut[0]._kept is None and cut[1]._kept == "" and cut[5]._removed is None
-    assert cut[6]._kept == "" and [(s.start, s.stop) for s in cut[6]._removed] == [(0, len(cut[6].text))]
-    assert cut[8]._kept == cut[8].text.split("\n")[0]
+    assert cut[0].repeats.kept is None and cut[1].repeats.kept == "" and cut[5].repeats.removed == []
+    assert cut[6].repeats.kept == "" and [(s.start, s.stop) for s in cut[6].repeats.removed] == [(0, len(cut[6].text))]
+    # a repeated line goes; what stands before it on lines of its own stays
+    assert cut[8].repeats.kept == cut[8].text.split("\n")[0] + "\n"
     assert lines.without_repeats(odd).columns == odd.columns and lines.without_repeats(nothing).count() == 0
 
 
+def cut_texts(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in lines.without_repeats(rows).orderBy("doc_id").collect()]
+
+
+def test_passages_inside_lines_go_wherever_they_begin_and_end(spark):
+    kept = 0
+    for seed in range(12):
+        passage, (a, b, c, d) = prose(500 + seed, 55), (prose(600 + 4 * seed + i, 40) for i in range(4))
+        first, second = cut_texts(spark, [f"{a} {passage} {b}", f"{c}, {passage} {d}.\nEnd"])
+        assert first == f"{a} {passage} {b}"
+        # the words around it stay, of the passage itself at most those beside its borders
+        assert second.startswith(c) and second.endswith(f"{d}.\nEnd")
+        kept += len(second) - len(f"{c},  {d}.\nEnd")
+    assert kept <= 0.45 * sum(len(prose(500 + seed, 55)) for seed in range(12))
+
+
+def test_short_lines_go_only_with_what_stands_around_them(spark):
+    texts = ["Yes.\n" + prose(700, 30), "Yes.\n" + prose(701, 30), "Yes.\nNo.\n", "Yes.\nNo.\n", "a\n" * 200]
+    got = cut_texts(spark, texts)
+    assert got[:4] == texts[:4]
+    assert got[4] == "a\n"  # every other one has an equal one before it
+
+
+def test_lines_of_unspaced_scripts_go(spark):
+    line = "".join(chr(0x4E00 + (i * 37) % 900) for i in range(130))
+    clauses = "".join("".join(chr(0x4E00 + (j * 91 + i) % 800) for i in range(30)) + "。" for j in range(8))
+    assert cut_texts(spark, [line] * 5) == [line, "", "", "", ""]
+    first, second = cut_texts(spark, ["甲" * 40 + "。" + clauses + "乙乙", "丙" * 50 + "，" + clauses + "丁"])
+    assert clauses in first and second == "丙" * 50 + "，" + "丁"
+
+
+def test_names_of_given_columns_do_not_clash_with_lines(spark):
+    rows = spark.createDataFrame([(1, prose(710, 60), 7, 8, 9), (2, prose(710, 60), 7, 8, 9)], "doc_id long, text string, key int, ranges int, repeats int")
+    got = lines.without_repeats(rows).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == [(1, prose(710, 60), 7, 8, 9), (2, "", 7, 8, 9)]
+
+
 def test_mixing_of_odd_rows(odd, nothing):
     rows = mixing.mix(odd, MIX_WEIGHTS).collect()
     assert len(rows) == odd.count() and mixing.mix(nothing, MIX_WEIGHTS).count() == 0
