@@ -934,7 +934,7 @@ def continued_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
         for year in range(SETTINGS.data_start.year, SETTINGS.train_end.year + 1)
         for fleet in SETTINGS.fleets
     ]
-    model = learners.fit_residual_chain(rows, preset, strata)
+    model = learners.fit_continued(rows, preset, strata)
     rows.unpersist()
     held_out = preprocess.to_vectors(fitted, _held_out(spark, sf_dir), "split", TARGET)
     return _errors("continued_boosting", model.transform(held_out))

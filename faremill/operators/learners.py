@@ -1,22 +1,20 @@
-"""Fare regressors on Spark ML, under the names and settings of the model catalog."""
+"""Fare regressors under the names and settings of the model catalog; all of them are storable pipeline stages."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 from math import ceil, log
 
-from pyspark.ml import Model
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faremill.contract import TARGET
+from faremill.operators import boosters
+from faremill.operators.boosters import BoostedTrees, Growth
 from faremill.operators.preprocess import FEATURES
 from faremill.session import shared_folder
 
@@ -31,6 +29,7 @@ class Preset:
     status: str
     settings: dict[str, float] = field(default_factory=dict)
     nominal_levels: int = 0
+    growth: str = "level"  # how boosted trees grow
 
     def sized(self, rounds: int) -> Preset:
         """The same learner with another number of trees."""
@@ -59,8 +58,9 @@ CATALOG = {
             "hist_gradient_boosting",
             "boosting",
             "recommended",
-            {"rounds": 200, "depth": 6, "rate": 0.05, "leaf": 50},
+            {"rounds": 200, "depth": 6, "rate": 0.05, "leaf": 50, "leaves": 31},
             TREE_LEVELS,
+            "leaves",
         ),
         Preset("bagging", "bagging", "archived", {"rounds": 60, "depth": 8, "rows": 0.7}, TREE_LEVELS),
         Preset("pasting", "pasting", "archived", {"rounds": 60, "depth": 8, "rows": 0.7}, TREE_LEVELS),
@@ -69,17 +69,25 @@ CATALOG = {
             "xgboost",
             "boosting",
             "production",
-            {"rounds": 600, "depth": 6, "rate": 0.05, "rows": 0.8, "columns": 0.8, "leaf": 5},
+            {"rounds": 600, "depth": 6, "rate": 0.05, "rows": 0.8, "columns": 0.8, "child_weight": 5, "l2": 1.0},
             TREE_LEVELS,
         ),
         Preset(
             "lightgbm",
             "boosting",
             "recommended",
-            {"rounds": 400, "depth": 6, "rate": 0.05, "rows": 0.8, "columns": 0.8},
+            {"rounds": 400, "depth": 6, "rate": 0.05, "rows": 0.8, "columns": 0.8, "leaf": 20, "child_weight": 0.001, "leaves": 31},
             TREE_LEVELS,
+            "leaves",
+        ),
+        Preset(
+            "catboost",
+            "boosting",
+            "recommended",
+            {"rounds": 400, "depth": 6, "rate": 0.05, "l2": 3.0},
+            TREE_LEVELS,
+            "symmetric",
         ),
-        Preset("catboost", "boosting", "recommended", {"rounds": 400, "depth": 6, "rate": 0.05}, TREE_LEVELS),
     )
 }
 CURATED = (
@@ -97,64 +105,36 @@ VOTERS = ("random_forest", "gradient_boosting", "hist_gradient_boosting")
 # ---- end of fixed values ----
 
 
-class MeanModel:
+def fit_mean(df: DataFrame, target: str = TARGET, weight: str | None = None) -> SQLTransformer:
     """Predicts the (weighted) mean target of the training rows."""
-
-    def __init__(self, mean: float):
-        self.mean = mean
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(PREDICTION, F.lit(self.mean))
-
-
-def fit_mean(df: DataFrame, target: str = TARGET, weight: str | None = None) -> MeanModel:
     w = F.col(weight) if weight else F.lit(1.0)
     present = F.when(F.col(target).isNotNull(), w)
-    return MeanModel(df.agg(F.sum(F.col(target) * w) / F.sum(present)).first()[0])
-
-
-class Combined:
-    """Several fitted models whose predictions are joined into one by ``combine``."""
-
-    def __init__(self, models: Sequence[Model], combine: Callable[[list[Column]], Column]):
-        self.models = list(models)
-        self.combine = combine
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        names = [f"_p{i}" for i in range(len(self.models))]
-        out = df
-        for model, name in zip(self.models, names):
-            out = model.copy({model.predictionCol: name}).transform(out) if isinstance(model, Model) else (
-                model.transform(out).withColumnRenamed(PREDICTION, name)
-            )
-        return out.withColumn(PREDICTION, self.combine([F.col(name) for name in names])).drop(*names)
+    mean = df.agg(F.sum(F.col(target) * w) / F.sum(present)).first()[0]
+    if mean is None:
+        raise ValueError("no rows to train on")
+    return SQLTransformer(statement=f"SELECT *, {float(mean)!r}D AS {PREDICTION} FROM __THIS__")
 
 
-def _mean(predictions: list[Column]) -> Column:
-    return sum(predictions[1:], predictions[0]) / len(predictions)
+def combined(models: Sequence[Model], expression: str) -> PipelineModel:
+    """Fitted models whose predictions ``_p0``, ``_p1``, ... an SQL expression joins into one; stored like any pipeline."""
+    names = [f"_p{i}" for i in range(len(models))]
+    members = [model.copy({model.predictionCol: name}) for model, name in zip(models, names, strict=True)]
+    statement = f"SELECT * EXCEPT ({', '.join(names)}), {expression} AS {PREDICTION} FROM __THIS__"
+    return PipelineModel([*members, SQLTransformer(statement=statement)])
 
 
-def _damped_sum(share: float) -> Callable[[list[Column]], Column]:
-    return lambda predictions: sum([p * share for p in predictions[1:]], predictions[0])
+def mean_of(count: int) -> str:
+    return f"({' + '.join(f'_p{i}' for i in range(count))}) / {count}"
 
 
-def _weighted_median(weights: Sequence[float]) -> Callable[[list[Column]], Column]:
+def weighted_median(weights: Sequence[float]) -> str:
+    """The value at which the weights of the ordered predictions reach half of their sum."""
+    votes = ", ".join(f"struct(_p{i} AS value, {float(w)!r}D AS weight)" for i, w in enumerate(weights))
     half = sum(weights) / 2
-
-    def vote(predictions: list[Column]) -> Column:
-        votes = F.array_sort(
-            F.array(*[F.struct(p.alias("value"), F.lit(w).alias("weight")) for p, w in zip(predictions, weights)])
-        )
-        start = F.struct(F.lit(0.0).alias("seen"), F.lit(None).cast("double").alias("value"))
-
-        def step(state: Column, vote_: Column) -> Column:
-            seen = state["seen"] + vote_["weight"]
-            value = F.when(state["value"].isNull() & (seen >= half), vote_["value"]).otherwise(state["value"])
-            return F.struct(seen.alias("seen"), value.alias("value"))
-
-        return F.aggregate(votes, start, step, lambda state: state["value"])
-
-    return vote
+    value = f"if(s.value IS NULL AND s.seen + v.weight >= {half!r}D, v.value, s.value)"
+    start = "struct(0.0D AS seen, CAST(NULL AS DOUBLE) AS value)"
+    step = f"(s, v) -> struct(s.seen + v.weight AS seen, {value} AS value)"
+    return f"aggregate(array_sort(array({votes})), {start}, {step}, s -> s.value)"
 
 
 def _tree_columns(weight: str | None, target: str) -> dict[str, object]:
@@ -165,17 +145,19 @@ def _tree_columns(weight: str | None, target: str) -> dict[str, object]:
     return columns
 
 
-def boosting(preset: Preset, target: str = TARGET, weight: str | None = None) -> GBTRegressor:
+def growth(preset: Preset) -> Growth:
     s = preset.settings
-    return GBTRegressor(
-        **_tree_columns(weight, target),
-        maxIter=int(s["rounds"]),
-        maxDepth=int(s["depth"]),
-        stepSize=s["rate"],
-        subsamplingRate=s.get("rows", 1.0),
-        featureSubsetStrategy=str(s.get("columns", "all")),
-        minInstancesPerNode=int(s.get("leaf", 1)),
-        checkpointInterval=10,
+    return Growth(
+        rounds=int(s["rounds"]),
+        depth=int(s["depth"]),
+        rate=s["rate"],
+        way=preset.growth,
+        l2=s.get("l2", 0.0),
+        leaf=int(s.get("leaf", 1)),
+        child_weight=s.get("child_weight", 0.0),
+        leaves=int(s.get("leaves", 0)),
+        rows=s.get("rows", 1.0),
+        columns=s.get("columns", 1.0),
         seed=SEED,
     )
 
@@ -214,18 +196,18 @@ def _linear(penalty: float, target: str, weight: str | None) -> LinearRegression
 
 
 def ready_checkpoints(df: DataFrame) -> None:
-    """Boosting cuts its lineage in the shared folder; name it where the session has not."""
+    """Forests and AdaBoost cut their lineage in the shared folder; name it where the session has not."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
 
 
-def fit_adaboost(df: DataFrame, preset: Preset, target: str = TARGET, weight: str | None = None) -> Combined:
+def fit_adaboost(df: DataFrame, preset: Preset, target: str = TARGET, weight: str | None = None) -> PipelineModel:
     """AdaBoost.R2 with linear loss: rows are reweighted by their error, trees vote by weighted median."""
     ready_checkpoints(df)
     rate, depth = preset.settings["rate"], int(preset.settings["depth"])
     first = F.col(weight) if weight else F.lit(1.0)
-    rows = df.select(FEATURES, F.col(target).cast("double").alias(target), first.alias("_w"))
+    rows = df.select(FEATURES, F.col(target).cast("double").alias(target), first.alias("_w")).persist()
     trees: list[Model] = []
     votes: list[float] = []
     for turn in range(int(preset.settings["rounds"])):
@@ -233,13 +215,13 @@ def fit_adaboost(df: DataFrame, preset: Preset, target: str = TARGET, weight: st
         tree = DecisionTreeRegressor(**columns, maxDepth=depth, seed=SEED, predictionCol="_p").fit(rows)
         error = F.abs(F.col("_p") - F.col(target))
         scored = tree.transform(rows)
-        worst = scored.agg(F.max(error)).first()[0]
+        # one pass: the mean loss is the weighted mean error over the largest one
+        worst, wrong, mass, mean_mass = scored.agg(F.max(error), F.sum(error * F.col("_w")), F.sum("_w"), F.avg("_w")).first()
         if not worst:  # nothing left to correct
             trees.append(tree)
             votes.append(1.0)
             break
-        loss = error / F.lit(worst)
-        mean_loss, mass = scored.agg(F.sum(loss * F.col("_w")) / F.sum("_w"), F.avg("_w")).first()
+        mean_loss = wrong / worst / mass
         if mean_loss >= 0.5 and trees:
             break
         trees.append(tree)
@@ -249,47 +231,38 @@ def fit_adaboost(df: DataFrame, preset: Preset, target: str = TARGET, weight: st
         beta = mean_loss / (1.0 - mean_loss)
         votes.append(rate * log(1.0 / beta))
         # The tree only depends on relative weights; dividing by their mean keeps them near 1.
-        rows = scored.select(
-            FEATURES, target, (F.col("_w") * F.pow(F.lit(beta), (1 - loss) * rate) / F.lit(mass)).alias("_w")
-        )
-        if turn % 10 == 9:
-            rows = rows.checkpoint()
-    return Combined(trees, _weighted_median(votes))
+        lighter = F.pow(F.lit(beta), (1 - error / F.lit(worst)) * rate)
+        following = scored.select(FEATURES, target, (F.col("_w") * lighter / F.lit(mean_mass)).alias("_w"))
+        following = following.checkpoint() if turn % 10 == 9 else following.persist()
+        following.count()
+        rows.unpersist()
+        rows = following
+    rows.unpersist()
+    return combined(trees, weighted_median(votes))
 
 
-def fit_residual_chain(
+def fit_continued(
     df: DataFrame,
     preset: Preset,
     strata: Iterable[Column],
     target: str = TARGET,
     weight: str | None = None,
-) -> Combined:
-    """Continued boosting: every stratum in turn fits its share of the rounds to what is left over.
+) -> BoostedTrees:
+    """Continued boosting: every stratum in turn adds its share of the rounds to the trees there are.
 
-    A Spark stage starts with one tree at full weight. Later stages are therefore damped to the
-    part of the rest that their rounds remove at the learning rate. Strata without rows are left out.
-    A tree cannot take a nominal column of more levels than there are rows, and a stratum may have
-    few: here, in all strata alike, the numbers of zones, vendors and rate codes are split by order.
+    All strata share the bins of the whole frame, so a stratum of any size can be trained. Strata without rows are left out.
     """
-    ready_checkpoints(df)
-    df = df.withColumn(FEATURES, F.col(FEATURES).alias(FEATURES, metadata={"split": "by order"}))
     strata = list(strata)
     sizes = df.agg(*[F.count_if(stratum).alias(str(i)) for i, stratum in enumerate(strata)]).first()
     parts = [stratum for stratum, size in zip(strata, sizes, strict=True) if size]
     if not parts:
         raise ValueError("no rows to train on")
-    share = preset.sized(max(1, ceil(preset.settings["rounds"] / len(parts))))
-    combine = _damped_sum(1 - (1 - preset.settings["rate"]) ** share.settings["rounds"])
-    stages: list[Model] = []
+    share = growth(preset.sized(max(1, ceil(preset.settings["rounds"] / len(parts)))))
+    bins = boosters.binning(df, target, weight, FEATURES)
+    model = None
     for stratum in parts:
-        rows = df.filter(stratum)
-        if stages:
-            rows = Combined(stages, combine).transform(rows)
-            rows = rows.withColumn("_left", F.col(target) - F.col(PREDICTION)).drop(PREDICTION)
-        else:
-            rows = rows.withColumn("_left", F.col(target).cast("double"))
-        stages.append(boosting(share, "_left", weight).fit(rows))
-    return Combined(stages, combine)
+        model = boosters.fit(df.filter(stratum), share, target, weight, FEATURES, bins, model)
+    return model
 
 
 def fit_preset(df: DataFrame, preset: Preset, target: str = TARGET, weight: str | None = None):
@@ -300,9 +273,9 @@ def fit_preset(df: DataFrame, preset: Preset, target: str = TARGET, weight: str
         return ridge(preset.settings["alpha"], df.count(), target, weight).fit(df)
     if preset.kind == "linear":
         return _linear(preset.settings["alpha"], target, weight).fit(df)
-    ready_checkpoints(df)
     if preset.kind == "boosting":
-        return boosting(preset, target, weight).fit(df)
+        return boosters.fit(df, growth(preset), target, weight, FEATURES)
+    ready_checkpoints(df)
     if preset.kind in ("forest", "bagging", "pasting"):
         return forest(preset, target, weight).fit(df)
     if preset.kind == "adaboost":
@@ -310,5 +283,5 @@ def fit_preset(df: DataFrame, preset: Preset, target: str = TARGET, weight: str
     if preset.kind == "voting":
         rounds = preset.settings.get("rounds")
         members = [CATALOG[name].sized(rounds) if rounds else CATALOG[name] for name in VOTERS]
-        return Combined([fit_preset(df, member, target, weight) for member in members], _mean)
+        return combined([fit_preset(df, member, target, weight) for member in members], mean_of(len(members)))
     raise ValueError(f"unknown kind of learner: {preset.kind}")

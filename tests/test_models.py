@@ -1,9 +1,14 @@
+from dataclasses import replace
+
+import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from faremill.contract import RAW_FEATURES
-from faremill.operators import learners, preprocess, requests
+from faremill.operators import boosters, learners, preprocess, requests
 from faremill.operators.features import with_trip_features
 from faremill.plans import scoring, training
 from faremill.session import new_folder
@@ -17,7 +22,7 @@ def days(spark):
 
 def small(name, **settings):
     preset = learners.CATALOG[name]
-    return learners.Preset(name, preset.kind, preset.status, {**preset.settings, **settings}, preset.nominal_levels)
+    return replace(preset, settings={**preset.settings, **settings})
 
 
 def rmse(trained, rows):
@@ -75,9 +80,11 @@ def test_linear_fit_recovers_the_fare(days):
 
 def test_mean_is_weighted(spark, days):
     plain = learners.fit_mean(days)
-    assert plain.mean == pytest.approx(8 + 0.8 * 15.5)
+    assert plain.transform(days).first()["prediction"] == pytest.approx(8 + 0.8 * 15.5)
     weighted = learners.fit_mean(days.withColumn("w", F.when(F.col("trip_type") == "yellow", 1.0).otherwise(0.0)), weight="w")
-    assert weighted.mean == pytest.approx(8 + 0.8 * 15)
+    assert weighted.transform(days).first()["prediction"] == pytest.approx(8 + 0.8 * 15)
+    with pytest.raises(ValueError, match="no rows"):
+        learners.fit_mean(days.limit(0))
 
 
 @pytest.mark.parametrize(
@@ -85,12 +92,15 @@ def test_mean_is_weighted(spark, days):
     [
         ("ridge_regressor", {}),
         ("random_forest", {"rounds": 5, "leaf": 1}),
-        ("gradient_boosting", {"rounds": 5}),
+        ("gradient_boosting", {"rounds": 4}),
         ("bagging", {"rounds": 3}),
         ("pasting", {"rounds": 3}),
         ("adaboost", {"rounds": 12}),
-        ("xgboost", {"rounds": 3, "leaf": 1}),
-        ("voting", {"rounds": 2}),
+        ("xgboost", {"rounds": 3, "child_weight": 1}),
+        ("hist_gradient_boosting", {"rounds": 4, "leaf": 2}),
+        ("lightgbm", {"rounds": 4, "leaf": 2}),
+        ("catboost", {"rounds": 4}),
+        ("voting", {"rounds": 12}),
     ],
 )
 def test_learners_beat_the_mean(days, name, settings):
@@ -104,10 +114,10 @@ def test_learners_beat_the_mean(days, name, settings):
 
 
 def test_weighted_median_vote(spark):
-    row = spark.createDataFrame([(3.0, 1.0, 2.0)], "a double, b double, c double")
+    row = spark.createDataFrame([(3.0, 1.0, 2.0)], "_p0 double, _p1 double, _p2 double")
 
     def vote(*weights):
-        return row.select(learners._weighted_median(weights)([F.col("a"), F.col("b"), F.col("c")])).first()[0]
+        return row.select(F.expr(learners.weighted_median(weights))).first()[0]
 
     assert vote(1.0, 1.0, 1.0) == 2.0
     assert vote(5.0, 1.0, 1.0) == 3.0
@@ -118,14 +128,121 @@ def test_continued_boosting_uses_every_stratum(days):
     fitted = preprocess.fit_preprocessor(with_trip_features(days), 512)
     vectors = preprocess.to_vectors(fitted, days, "fare_amount", "trip_type").persist()
     strata = [F.col("trip_type") == fleet for fleet in ("yellow", "blue", "green")]
-    model = learners.fit_residual_chain(vectors, small("xgboost", rounds=6, leaf=1), strata)
-    assert len(model.models) == 2  # the empty stratum is skipped
+    preset = small("xgboost", rounds=6, child_weight=1, rate=0.5)
+    model = learners.fit_continued(vectors, preset, strata)
+    assert len(model.trees) == 6  # the empty stratum is skipped
     error = F.col("fare_amount") - F.col("prediction")
     assert model.transform(vectors).agg(F.sqrt(F.avg(error * error))).first()[0] < 5
     few = [F.col("fare_amount") == vectors.first()["fare_amount"], F.lit(True)]
-    assert len(learners.fit_residual_chain(vectors, small("xgboost", rounds=6, leaf=1), few).models) == 2
+    assert len(learners.fit_continued(vectors, preset, few).trees) == 6
+    with pytest.raises(ValueError, match="no rows"):
+        learners.fit_continued(vectors.limit(0), small("xgboost", rounds=6), strata)
+
+
+def numbers(spark, n=900, parts=5):
+    """Rows of two ordered features and a nominal one of six levels."""
+    rng = np.random.default_rng(1)
+    x = np.c_[rng.normal(size=n).round(1), rng.random(n).round(2), rng.integers(0, 6, n)]
+    y = 3 * x[:, 0] + 2 * x[:, 1] ** 2 + np.where(np.isin(x[:, 2], (1, 4)), 4, 0) + rng.normal(size=n) * 0.1
+    w = rng.integers(1, 4, n).astype(float)
+    rows = [(*map(float, row), float(t), float(v)) for row, t, v in zip(x, y, w)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double, w double").repartition(parts)
+    attribute = {"ml_attr": {"type": "nominal", "vals": list("pqrstu")}}
+    df = df.withColumn("c", F.col("c").alias("c", metadata=attribute))
+    return VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df), x, y, w
+
+
+def brute_split(x, g, h, l2, least):
+    """Best gain over all cuts of ordered features and all ratio-ordered cuts of the nominal one."""
+    def worth(at):
+        return g[at].sum() ** 2 / (h[at].sum() + l2)
+
+    everything, best = np.ones(len(g), bool), (-1.0, None, None)
+    for f in range(3):
+        values = np.unique(x[:, f])
+        if f == 2:
+            values = np.array(sorted(values, key=lambda v: g[x[:, f] == v].sum() / h[x[:, f] == v].sum()))
+        for k in range(1, len(values)):
+            at = np.isin(x[:, f], values[:k])
+            if min(at.sum(), (~at).sum()) >= least:
+                gain = worth(at) + worth(~at) - worth(everything)
+                if gain > best[0] + 1e-9:
+                    best = (gain, f, at)
+    return best
+
+
+def brute_tree(x, g, h, depth, l2, least):
+    gain, _, at = brute_split(x, g, h, l2, least) if depth else (-1, None, None)
+    if gain <= boosters.LEAST_GAIN:
+        return np.full(len(g), -g.sum() / (h.sum() + l2))
+    out = np.empty(len(g))
+    out[at], out[~at] = (brute_tree(x[m], g[m], h[m], depth - 1, l2, least) for m in (at, ~at))
+    return out
+
+
+@pytest.mark.parametrize(("l2", "least"), [(0.0, 1), (2.0, 40)])
+def test_a_boosted_tree_equals_a_brute_force_one(spark, l2, least):
+    df, x, y, w = numbers(spark)
+    model = boosters.fit(df, boosters.Growth(1, 2, 1.0, l2=l2, leaf=least), "y", "w")
+    base = (y * w).sum() / w.sum()
+    want = base + brute_tree(x, (base - y) * w, w, 2, l2, least)
+    got = {(r.a, r.b, r.c, r.y): r.prediction for r in model.transform(df).collect()}
+    assert [got[*row, t] for row, t in zip(x, y)] == pytest.approx(want.tolist(), abs=1e-6)
+
+
+def test_one_split_equals_sql(spark):
+    df, x, y, _ = numbers(spark)
+    df.createOrReplaceTempView("boosted_rows")
+    best = spark.sql("""
+        WITH cuts AS (SELECT DISTINCT a AS cut FROM boosted_rows), base AS (SELECT avg(y) AS m FROM boosted_rows)
+        SELECT cut, pow(sum(IF(a <= cut, m - y, 0)), 2) / count_if(a <= cut) + pow(sum(IF(a > cut, m - y, 0)), 2) / nullif(count_if(a > cut), 0) AS gain
+        FROM boosted_rows, cuts, base GROUP BY cut ORDER BY gain DESC NULLS LAST LIMIT 1""").first()
+    only_a = VectorAssembler(inputCols=["a"], outputCol="one").transform(df)
+    tree = boosters.fit(only_a, boosters.Growth(1, 1, 1.0), "y", features="one")
+    assert tree.parts["edges"][0][tree.trees[0].left[0]] == best.cut
+
+
+def test_ways_of_growing(spark):
+    df, _, _, _ = numbers(spark)
+    leaves = boosters.fit(df, boosters.Growth(2, 4, 0.3, "leaves", leaves=6), "y")
+    assert all(sum(f >= 0 for f in tree.feature) == 5 for tree in leaves.trees)
+    same = boosters.fit(df, boosters.Growth(2, 3, 0.3, "symmetric", l2=3.0), "y")
+    for tree in same.trees:
+        for first, last in ((1, 3), (3, 7)):
+            inner = {(tree.feature[i], str(tree.left[i])) for i in range(first, last) if tree.feature[i] >= 0}
+            assert len(inner) == 1
+    presets = [boosters.fit(df, learners.growth(small(name, rounds=2, leaf=5)), "y") for name in ("xgboost", "lightgbm", "catboost", "hist_gradient_boosting")]
+    assert len({str(model.parts["trees"]) for model in presets}) == 4
+
+
+def test_trees_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    growth = boosters.Growth(4, 3, 0.3, rows=0.7, columns=0.7)
+    monkeypatch.setattr(boosters, "REFRESH", 2)
+    one, many = (boosters.fit(numbers(spark, parts=parts)[0], growth, "y", "w").parts["trees"] for parts in (1, 7))
+    for left, right in zip(one, many, strict=True):
+        assert left[:2] == right[:2] and left[2] == pytest.approx(right[2], rel=1e-9)
+
+
+def test_boosting_refuses_no_rows_and_takes_one_value(spark):
+    df, _, _, _ = numbers(spark)
     with pytest.raises(ValueError, match="no rows"):
-        learners.fit_residual_chain(vectors.limit(0), small("xgboost", rounds=6), strata)
+        boosters.fit(df.limit(0), boosters.Growth(1, 2, 0.5), "y")
+    flat = boosters.fit(df.withColumn("y", F.lit(4.0)), boosters.Growth(2, 2, 0.5), "y")
+    assert flat.transform(df).agg(F.min("prediction"), F.max("prediction")).first() == (4.0, 4.0)
+    gaps = boosters.fit(df.withColumn("y", F.when(F.col("a") > 0, F.col("y"))), boosters.Growth(1, 1, 0.5), "y")
+    assert gaps.transform(df).filter("isnan(prediction)").isEmpty()
+
+
+@pytest.mark.parametrize("name", ["dummy_regressor", "adaboost", "voting", "catboost"])
+def test_every_learner_can_be_stored(spark, days, name):
+    preset = small(name, rounds=2) if name != "dummy_regressor" else learners.CATALOG[name]
+    trained = training.train(days, preset)
+    path = new_folder(spark, "stored")
+    PipelineModel([trained.preprocessor, trained.model]).save(path)
+    loaded = training.load_model(path)
+    features = with_trip_features(days)
+    pairs = trained.predict(days, "fare_amount").agg(F.sum("prediction")).first()[0], loaded.transform(features).agg(F.sum("prediction")).first()[0]
+    assert pairs[0] == pytest.approx(pairs[1], rel=1e-12)
 
 
 def test_tree_encoding_does_not_depend_on_the_rows(days):
@@ -164,7 +281,7 @@ def test_production_model_is_stored_with_its_facts(spark, days, january):
 
 def test_scoring_refuses_outcomes(spark):
     with pytest.raises(ValueError, match="tip_amount"):
-        scoring.score(learners.MeanModel(1.0), trips(spark).withColumn("tip_amount", F.lit(1.0)))
+        scoring.score(learners.fit_mean(trips(spark)), trips(spark).withColumn("tip_amount", F.lit(1.0)))
 
 
 def test_stream_scores_equal_batch_scores(spark, days):
