@@ -229,6 +229,15 @@ SQL["column_profile"] = over_trips(
     )
 )
 
+SQL["merged_profile"] = over_trips(
+    "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS "column", '{kind}' AS dtype, count(*) AS rows, count(*) - count({name}) AS nulls,
+       count(DISTINCT {name}) + (CASE WHEN count(*) > count({name}) THEN 1 ELSE 0 END) AS n_unique, true AS close,
+       round((count(*) - count({name})) * 100.0::DOUBLE / count(*), 2) AS null_pct FROM canonical"""
+        for name, kind in KINDS.items()
+    )
+)
+
 
 def described(columns: dict[str, str], points: list[float], source: str) -> str:
     def name(point: float) -> str:
@@ -589,7 +598,7 @@ UNION ALL SELECT 'obt', true, count(*) FROM obt
 UNION ALL SELECT split, true, count(*) FROM splits GROUP BY split
 UNION ALL SELECT 'scored', false, 0"""
 )
-SQL["stored_obt"] = SQL["obt_trips"]
+SQL["stored_obt"] = SQL["incremental_obt"] = SQL["obt_trips"]
 SQL["fleet_probe"] = over_trips(
     """SELECT trip_type AS fleet, true AS present, count(*) AS rows FROM canonical GROUP BY trip_type
 UNION ALL SELECT 'blue', false, 0"""
@@ -669,7 +678,13 @@ SQL["metrics_by_week"] = over_trips(
        {metric_columns(RATE, 10)}, {middle_error(RATE, 10)} FROM splits WHERE split = 'test' GROUP BY 1"""
 )
 SQL["fleet_metrics_with_total"] = over_trips(
-    f"SELECT trip_type, {metric_columns(RATE)} FROM {HELD_OUT} GROUP BY ROLLUP (trip_type)"
+    f"SELECT trip_type, {metric_columns(RATE)}, {middle_error(RATE)} FROM {HELD_OUT} GROUP BY ROLLUP (trip_type)"
+)
+SQL["metrics_by_grain"] = over_trips(
+    f"""SELECT CASE grouping(window_start, trip_type) WHEN 3 THEN 'total' WHEN 2 THEN 'trip_type' WHEN 1 THEN 'window_start'
+            ELSE 'window_start+trip_type' END AS grain, window_start, trip_type, {metric_columns(RATE)}, {middle_error(RATE)}
+FROM (SELECT *, CAST(date_trunc('month', pickup_datetime) AS DATE) AS window_start FROM splits WHERE split = 'validation')
+GROUP BY CUBE (window_start, trip_type)"""
 )
 MEAN = "train_mean AS (SELECT avg(fare_amount) AS mean_fare FROM splits WHERE split = 'train')"
 SQL["mean_baseline"] = over_trips(
@@ -691,6 +706,7 @@ RUNS = MEAN + """, code_mean AS (
 ) + ")"
 RUN_COLUMNS = f"model, run, sample_rows, contract_version, {rounded('val_rmse test_rmse')}"
 SQL["run_ledger"] = over_trips(f"SELECT {RUN_COLUMNS} FROM runs", RUNS)
+SQL["versioned_ledger"] = SQL["run_ledger"]
 SQL["model_comparison"] = over_trips(
     f"SELECT {RUN_COLUMNS}, round(test_rmse - val_rmse, 9) AS gap FROM runs", RUNS
 )

@@ -17,7 +17,7 @@ from faremill.functions.rules import within_days
 from faremill.operators import cleaning, features, learners, lookups, metrics, preprocess, reports, requests, sampling, splits
 from faremill.operators.canonical import canonical_trips, normalise_frame
 from faremill.operators.quantiles import exact_percentiles
-from faremill.plans import scoring, training
+from faremill.plans import incremental, scoring, training
 from faremill.plans.layers import build_layers
 from faremill.session import new_folder
 from faremill.sources import audit, ledger, months, raw_files, tables
@@ -268,6 +268,20 @@ def approximate_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.approximate_profile(canonical(spark, sf_dir))
 
 
+@registered
+def merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column profile from sketches that are stored month by month: rows, NULLs, and whether the estimate is within its error."""
+    rows = canonical(spark, sf_dir)
+    path = new_folder(spark, "profile")
+    month = F.coalesce(F.date_format("pickup_datetime", "yyyy-MM"), F.lit("none"))
+    reports.profile_parts(rows, month).write.partitionBy("part").parquet(path)
+    found = reports.merged_profile(spark.read.parquet(path))
+    exact = reports.column_profile(rows).select("column", F.col("n_unique").alias("exact"))
+    error = 4 * 1.04 / 2 ** (reports.SKETCH_BITS / 2)
+    close = F.abs(F.col("n_unique") - F.col("exact")) <= F.greatest(F.lit(1.0), F.lit(error) * F.col("exact"))
+    return found.join(exact, "column").select("column", "dtype", "rows", "nulls", "null_pct", F.col("exact").alias("n_unique"), close.alias("close"))
+
+
 @registered
 def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features.with_trip_features(canonical(spark, sf_dir))
@@ -659,6 +673,23 @@ def stored_obt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(build_layers(raw(spark, sf_dir), SETTINGS, root)["obt"])
 
 
+@registered
+def incremental_obt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The modelling table of a store that was built from part of the months and brought up to date twice."""
+    root = new_folder(spark, "versions")
+    month = F.date_format("pickup_datetime", "yyyy-MM")
+    frames = {
+        fleet: rows.withColumn("period_label", F.coalesce(F.date_format(rows[f"{prefix}_pickup_datetime"], "yyyy-MM"), F.lit("none")))
+        for (fleet, rows), prefix in zip(raw(spark, sf_dir).items(), ("tpep", "lpep"))
+    }
+    seen = canonical(spark, sf_dir).select("trip_type", F.coalesce(month, F.lit("none")).alias("period_label")).distinct()
+    loaded = seen.select("*", F.lit(audit.COPIED).alias("copy_status"), F.lit("2025-01-01").cast("timestamp").alias("loaded_at"))
+    later = F.when(F.col("period_label") < "1996", F.lit("2025-02-01").cast("timestamp")).otherwise(F.col("loaded_at"))
+    for audited in (loaded.filter("period_label < '1998'"), loaded, loaded.withColumn("loaded_at", later)):
+        incremental.update_layers(frames, audited, SETTINGS, root)
+    return rounded(incremental.read_layer(spark, root, "obt"))
+
+
 @registered
 def fleet_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existence and count probes per fleet, and for a fleet that has no trips."""
@@ -780,6 +811,36 @@ def fleet_metrics_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics.total_and_parts(FixedRate().transform(_held_out(spark, sf_dir)), "trip_type"))
 
 
+@registered
+def metrics_by_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five metrics by month, by fleet, by both and in all, of the validation split."""
+    first, _ = SETTINGS.split_ranges["validation"]
+    rows = FixedRate().transform(splits.split(obt_rows(spark, sf_dir), "validation", SETTINGS))
+    rows = rows.withColumn("window_start", splits.window_start(first, SETTINGS.grain))
+    grains = [[], ["window_start"], ["trip_type"], ["window_start", "trip_type"]]
+    return rounded(metrics.metrics_by_grains(rows, grains))
+
+
+@registered
+def model_errors_by_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trained model (ridge) by split, evaluation window and fleet."""
+    preset = learners.CATALOG["ridge_regressor"]
+    trained = training.train(_train(spark, sf_dir), preset, _preprocessor(spark, sf_dir, preset))
+    return training.evaluate_by_grain(trained, obt_rows(spark, sf_dir), SETTINGS)
+
+
+@registered
+def versioned_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs added to the versioned ledger one after the other; the last run of each model counts."""
+    root = new_folder(spark, "ledger")
+    kinds = {field.name: field.dataType for field in ledger.ENTRIES if field.name not in ledger.RUNS.fieldNames()}
+    runs = _closed_form_runs(spark, sf_dir).withColumns({name: F.lit(None).cast(kind) for name, kind in kinds.items()})
+    for run in (1, 2):
+        ledger.append_entries(runs.filter(F.col("run") == run), root)
+    current = ledger.current_entries(ledger.read_entries(spark, root))
+    return rounded(current.select(*ledger.RUNS.fieldNames()))
+
+
 @registered
 def mean_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learners.fit_mean(_train(spark, sf_dir))
@@ -790,7 +851,7 @@ def _closed_form_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three predictors that need no learner, as ledger rows; the per-mile one is run twice."""
     rows = splits.with_split(obt_rows(spark, sf_dir), SETTINGS)
     train = rows.filter(F.col("split") == "train")
-    mean = learners.fit_mean(train).mean
+    mean = train.agg(F.avg(TARGET)).first()[0]
     by_code = train.groupBy("ratecode_id").agg(F.avg(TARGET).alias("code_mean"))  # six rate codes
     guesses = {
         ("mean", 1): F.lit(mean),

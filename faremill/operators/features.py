@@ -45,10 +45,10 @@ def with_trip_features(df: DataFrame) -> DataFrame:
     )
 
 
-def obt(staged: DataFrame) -> DataFrame:
-    """The modelling table: safe columns, derivations, target, and the pickup year to partition by."""
+def obt(staged: DataFrame, *keep: str) -> DataFrame:
+    """The modelling table: safe columns, derivations, target, the pickup year to partition by, and columns to keep beside."""
     lasting = staged.filter(F.col("trip_duration_min") > 0)
-    return with_trip_features(lasting).select(*OBT_COLUMNS, "pickup_year")
+    return with_trip_features(lasting).select(*OBT_COLUMNS, "pickup_year", *keep)
 
 
 def prepare_features(df: DataFrame) -> DataFrame:

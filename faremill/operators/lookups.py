@@ -1,4 +1,4 @@
-"""Zone and code labels."""
+"""Zone and code labels. Whether a dimension is broadcast is left to the planner, which knows its size."""
 
 from __future__ import annotations
 
@@ -9,16 +9,6 @@ from pyspark.sql import functions as F
 
 from faremill.contract import RATECODE_LABELS, VENDOR_LABELS
 
-# A dimension up to this many rows is sent to every executor; a larger one is joined by shuffle,
-# where adaptive execution splits the partitions of zones that hold a large part of the trips.
-BROADCAST_ROWS = 100_000
-
-
-def small_or_plain(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    within = dim.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dim) if within else dim
-
-
 def _with_role(trips: DataFrame, dim: DataFrame, role: str, picked: Mapping[str, Column]) -> DataFrame:
     side = dim.select(
         F.col("location_id").alias(f"{role}_location_id"),
@@ -27,13 +17,12 @@ def _with_role(trips: DataFrame, dim: DataFrame, role: str, picked: Mapping[str,
     return trips.join(side, f"{role}_location_id", "left")
 
 
-def with_zone_labels(trips: DataFrame, zones: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def with_zone_labels(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """``pickup_zone`` and ``dropoff_zone`` as "id — zone (borough)", or "Zone id" when unknown."""
-    dim = small_or_plain(zones, max_rows)
     label = F.format_string("%d — %s (%s)", "location_id", "zone", "borough")
     out = trips
     for role in ("pickup", "dropoff"):
-        out = _with_role(out, dim, role, {"zone": label})
+        out = _with_role(out, zones, role, {"zone": label})
         plain = F.concat(F.lit("Zone "), F.col(f"{role}_location_id").cast("string"))
         out = out.withColumn(f"{role}_zone", F.coalesce(F.col(f"{role}_zone"), plain))
     return out
@@ -43,11 +32,10 @@ def is_airport(service_zone: Column) -> Column:
     return service_zone.isin("Airports", "EWR").cast("int")
 
 
-def with_zone_facts(trips: DataFrame, zones: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def with_zone_facts(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Borough and airport flag at both ends of the trip; NULL for an unknown zone."""
-    dim = small_or_plain(zones, max_rows)
     facts = {"borough": F.col("borough"), "is_airport": is_airport(F.col("service_zone"))}
-    return _with_role(_with_role(trips, dim, "pickup", facts), dim, "dropoff", facts)
+    return _with_role(_with_role(trips, zones, "pickup", facts), zones, "dropoff", facts)
 
 
 def _labels(table: Mapping[int, str], code: Column, missing: str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from faremill.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from faremill.functions.trip import number
 from faremill.operators.features import with_trip_features
-from faremill.operators.quantiles import medians
+from faremill.operators.quantiles import summaries
 
 FEATURES = "features"
 #: The categories that tree learners take as nominal columns: those of a closed domain.
@@ -23,25 +23,15 @@ NOMINAL = tuple(name for name in CATEGORICAL_FEATURES if name != "route_id")
 
 def numeric_statistics(features: DataFrame) -> DataFrame:
     """Per numeric feature: the median that fills gaps, then mean and population std of the filled values."""
-    names = list(NUMERIC_FEATURES)
-    values = {name: number(F.col(name)) for name in names}
-    row = features.agg(
-        F.count("*").alias("_rows"),
-        *[
-            F.struct(F.count(value).alias("n"), F.avg(value).alias("avg"), F.var_pop(value).alias("var")).alias(name)
-            for name, value in values.items()
-        ],
+    values = {name: number(F.col(name)) for name in NUMERIC_FEATURES}
+    sums = summaries(
+        features, values, [0.5], per_column=lambda v: {"avg": F.avg(v), "var": F.var_pop(v)}, extra={"rows": F.count("*")}
+    )
+    known = sums.filter("rows > 0").select("*", F.col("quantiles")[0].alias("median"))
+    # a feature without a value is filled with zero
+    stats = known.withColumns(
+        {"gaps": 1 - F.col("n") / F.col("rows")} | {name: F.coalesce(name, F.lit(0.0)) for name in ("median", "avg", "var")}
     )
-    cells = [
-        F.struct(
-            F.lit(name).alias("column"),
-            (1 - F.col(f"{name}.n") / F.col("_rows")).alias("gaps"),
-            F.col(f"{name}.avg").alias("avg"),
-            F.col(f"{name}.var").alias("var"),
-        )
-        for name in names
-    ]
-    stats = row.select(F.inline(F.array(*cells))).join(F.broadcast(medians(features, values)), "column")
     # Filling a share of the rows with one value moves mean and variance in closed form.
     gaps, apart = F.col("gaps"), F.col("median") - F.col("avg")
     return stats.select(

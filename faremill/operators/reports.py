@@ -13,7 +13,7 @@ from faremill.functions import rules
 from faremill.functions.rules import Rule
 from faremill.operators.canonical import normalise_frame
 from faremill.operators.cleaning import candidate_mask, with_trip_diagnostics
-from faremill.operators.quantiles import exact_percentiles, long_values, medians
+from faremill.operators.quantiles import exact_percentiles, long_values, medians, summaries
 from faremill.operators.splits import split_label
 from faremill.settings import Settings
 
@@ -184,30 +184,63 @@ def approximate_profile(df: DataFrame, columns: Sequence[str] | None = None) ->
     return row.select(F.inline(F.array(*cells)))
 
 
+#: log2 of the size of a distinct-count sketch; the relative standard error is 1.04 / sqrt(2 ** SKETCH_BITS).
+SKETCH_BITS = 14
+
+
+def _profile_value(name: str, kind: str) -> Column:
+    value = F.col(name) + F.lit(0.0) if kind in ("double", "float") else F.col(name)  # -0.0 and 0.0 are one value
+    return F.when(F.col(name).isNotNull(), F.xxhash64(value))
+
+
+def profile_parts(df: DataFrame, part: Column, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per part (a month, say) and column: rows, NULLs and a sketch of the distinct values.
+
+    One pass; what moves is one small row per task, part and column. Kept as a table partitioned by ``part``, a new month adds its own rows.
+    """
+    kinds = dict(df.dtypes)
+    names = list(columns or df.columns)
+    sums = [F.count("*").alias("_rows")]
+    for i, name in enumerate(names):
+        sums += [F.count(name).alias(f"_n{i}"), F.hll_sketch_agg(_profile_value(name, kinds[name]), F.lit(SKETCH_BITS)).alias(f"_s{i}")]
+    cells = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.lit(kinds[name]).alias("dtype"),
+            F.col("_rows").alias("rows"),
+            (F.col("_rows") - F.col(f"_n{i}")).alias("nulls"),
+            F.col(f"_s{i}").alias("sketch"),
+        )
+        for i, name in enumerate(names)
+    ]
+    return df.groupBy(part.alias("part")).agg(*sums).select("part", F.inline(F.array(*cells)))
+
+
+def merged_profile(parts: DataFrame) -> DataFrame:
+    """``column_profile`` with estimated distinct values, from stored parts alone: the trips are not read again."""
+    merged = parts.groupBy("column", "dtype").agg(
+        F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.hll_union_agg("sketch").alias("sketch")
+    )
+    distinct = F.hll_sketch_estimate("sketch") + (F.col("nulls") > 0).cast("int")
+    return merged.select(
+        "column", "dtype", "rows", "nulls", distinct.alias("n_unique"), F.round(F.col("nulls") * F.lit(100.0) / F.col("rows"), 2).alias("null_pct")
+    )
+
+
 def describe(
     df: DataFrame,
     columns: Sequence[str] | Mapping[str, Column],
     probabilities: Sequence[float],
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """count, mean, std, min, max and exact percentiles per column (``by`` has few values)."""
-    sums = (
-        long_values(df, columns, by)
-        .groupBy(*by, "column")
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
-    )
-    points = exact_percentiles(df, columns, probabilities, by).select(
-        *by,
-        "column",
-        *[F.col("quantiles")[i].alias(percentile_name(p)) for i, p in enumerate(probabilities)],
-    )
-    return sums.join(F.broadcast(points), [*by, "column"])
+    """count, mean, std, min, max and exact percentiles per column; a column without values has count 0."""
+
+    def sums(value: Column) -> dict[str, Column]:
+        return {"mean": F.avg(value), "std": F.stddev_samp(value), "min": F.min(value), "max": F.max(value)}
+
+    points = [F.col("quantiles")[i].alias(percentile_name(p)) for i, p in enumerate(probabilities)]
+    made = summaries(df, columns, probabilities, by, sums)
+    return made.select(*by, "column", F.col("n").alias("count"), "mean", "std", "min", "max", *points)
 
 
 def percentile_name(probability: float) -> str:
@@ -215,14 +248,9 @@ def percentile_name(probability: float) -> str:
 
 
 def fleet_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    stats = (
-        long_values(df, columns, ["trip_type"])
-        .groupBy("trip_type", "column")
-        .agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-    )
-    middle = medians(df, columns, ["trip_type"])
-    joined = stats.join(F.broadcast(middle), ["trip_type", "column"])
-    return joined.select("trip_type", "column", *[F.round(name, 3).alias(name) for name in ("mean", "median", "std")])
+    made = summaries(df, columns, [0.5], ["trip_type"], lambda value: {"mean": F.avg(value), "std": F.stddev_samp(value)})
+    median = F.col("quantiles")[0].alias("median")
+    return made.select("trip_type", "column", F.round("mean", 3).alias("mean"), F.round(median, 3).alias("median"), F.round("std", 3).alias("std"))
 
 
 def year_fleet_coverage(df: DataFrame, fleets: Sequence[str]) -> DataFrame:

@@ -42,6 +42,11 @@ def _window_start(day: Column, first: Column, grain: str) -> Column:
     return F.greatest(F.trunc(day, "MM"), first)
 
 
+def window_start(first: date, grain: str) -> Column:
+    """First day of the evaluation window of a trip, of those counted from ``first``."""
+    return _window_start(F.to_date("pickup_datetime"), F.lit(first), grain)
+
+
 def _window_end(start: Column, last: Column, grain: str) -> Column:
     end = F.date_add(start, 6) if grain == "week" else F.last_day(start)
     return F.least(end, last)
@@ -69,8 +74,8 @@ def windows(spark: SparkSession, first: date, last: date, grain: str) -> DataFra
 
 
 def window_rows(df: DataFrame, first: date, last: date) -> DataFrame:
-    """One window's trips, ordered by pickup."""
-    return df.filter(within_days(F.col("pickup_datetime"), first, last)).orderBy("pickup_datetime")
+    """One window's trips, ordered by pickup within each partition: no shuffle, as batches are read one by one."""
+    return df.filter(within_days(F.col("pickup_datetime"), first, last)).sortWithinPartitions("pickup_datetime", *sorted(df.columns))
 
 
 def days_of_month(df: DataFrame, first_day: int, last_day: int) -> DataFrame:

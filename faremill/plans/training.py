@@ -3,23 +3,25 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.contract import CONTRACT_VERSION, TARGET, feature_audit
 from faremill.operators.features import refuse_leakage, with_trip_features
 from faremill.operators.learners import CATALOG, CURATED, PREDICTION, PRODUCTION, Preset, fit_preset
-from faremill.operators.metrics import regression_metrics
+from faremill.operators.metrics import metrics_by_grains, regression_metrics
 from faremill.operators.preprocess import fit_preprocessor, to_vectors
 from faremill.operators.reports import fleet_weight_map, with_fleet_weight
 from faremill.operators.sampling import stratified_train_sample
-from faremill.operators.splits import split, with_split
+from faremill.operators.splits import split, window_start, with_split
 from faremill.session import cut_lineage
 from faremill.settings import Settings
+from faremill.sources import ledger, snapshots
 
 
 @dataclass
@@ -73,32 +75,92 @@ def _require_both(evaluated: Collection[str]) -> None:
         raise ValueError("nothing to evaluate: no rows in " + ", ".join(missing))
 
 
+def strategy(settings: Settings) -> str:
+    return "sample" if settings.train_sample_limit else "all_rows"
+
+
+def evaluate_by_grain(trained: Trained, obt: DataFrame, settings: Settings) -> DataFrame:
+    """Errors of a trained model per split, by evaluation window of ``settings.grain``, by fleet, by both, and in all."""
+    scored = predictions(trained, obt, settings, "trip_type", "pickup_datetime")
+    window = F.lit(None).cast("date")
+    for name in ("validation", "test"):
+        first, _ = settings.split_ranges[name]
+        window = F.when(F.col("split") == name, window_start(first, settings.grain)).otherwise(window)
+    rows = scored.withColumn("window_start", window)
+    grains = [["split"], ["split", "window_start"], ["split", "trip_type"], ["split", "window_start", "trip_type"]]
+    return metrics_by_grains(rows, grains, PREDICTION, TARGET)
+
+
 def benchmark(
-    obt: DataFrame, settings: Settings, presets: Sequence[Preset] = tuple(CATALOG[name] for name in CURATED)
+    obt: DataFrame,
+    settings: Settings,
+    presets: Sequence[Preset] = tuple(CATALOG[name] for name in CURATED),
+    ledger_root: str | None = None,
+    again: bool = False,
 ) -> DataFrame:
-    """One training run per preset: validation and test error, best validation first."""
+    """One training run per preset: validation and test error, best validation first.
+
+    With a ledger, every run is noted as soon as it is done, presets that it has under this contract are not run again
+    (unless ``again``; the newer run then counts), and a benchmark that broke off goes on where it stopped. Rows, weights
+    and vectors are made once for every encoding, not for every preset.
+    """
     spark = obt.sparkSession
+    noted: dict[str, Row] = {}
+    if ledger_root:
+        noted = {row["model"]: row for row in ledger.current_entries(ledger.read_entries(spark, ledger_root)).collect()}
+    done = {name for name, row in noted.items() if row["contract_version"] == CONTRACT_VERSION and not again}
+    todo = [preset for preset in presets if preset.name not in done]
+    lines = [noted[preset.name] for preset in presets if preset.name in done]
     rows = training_rows(obt, settings)
-    preprocessors: dict[int, PipelineModel] = {}
-    lines = []
-    for preset in presets:
-        known = preprocessors.get(preset.nominal_levels)
-        trained = train(rows, preset, known)
-        preprocessors[preset.nominal_levels] = trained.preprocessor
-        held_out = with_split(obt, settings).filter(F.col("split") != "train")
+    weights = fleet_weight_map(rows) if todo else {}
+    for levels in dict.fromkeys(preset.nominal_levels for preset in todo):
+        encoded = encode(rows, obt, settings, levels, weights)
+        for preset in [preset for preset in todo if preset.nominal_levels == levels]:
+            started = time.monotonic()
+            count, rmse = encoded.run(preset)
+            run = (noted[preset.name]["run"] if preset.name in noted else 0) + 1
+            errors = (rmse["validation"], rmse["test"], CONTRACT_VERSION, preset.status, strategy(settings))
+            fleets = ",".join(settings.fleets), json.dumps(weights, sort_keys=True), settings.zone_lookup
+            line = spark.createDataFrame([(preset.name, run, count, *errors, *fleets, time.monotonic() - started)], ledger.ENTRIES)
+            if ledger_root:
+                ledger.append_entries(line, ledger_root)
+            lines.append(line.first())
+        encoded.close()
+    shown = ("model", "status", "sample_rows", "val_rmse", "test_rmse", "contract_version")
+    table = spark.createDataFrame([tuple(row[name] for name in ledger.ENTRIES.fieldNames()) for row in lines], ledger.ENTRIES)
+    return table.select(*shown).orderBy("val_rmse")
+
+
+@dataclass
+class Encoded:
+    """Training and evaluation rows as vectors of one encoding, kept while presets are run on them."""
+
+    training: DataFrame
+    rows: int
+    held_out: DataFrame
+
+    def run(self, preset: Preset) -> tuple[int, dict[str, float]]:
+        """Rows trained on, and the error of each held-out split."""
+        model = fit_preset(self.training, preset, TARGET, "weight")
         error = F.col(TARGET) - F.col(PREDICTION)
-        found = trained.predict(held_out, "split", TARGET).groupBy("split").agg(
-            F.sqrt(F.avg(error * error)).alias("rmse")
-        )
+        found = model.transform(self.held_out).groupBy("split").agg(F.sqrt(F.avg(error * error)).alias("rmse"))
         rmse = {row["split"]: row["rmse"] for row in found.collect()}  # two rows
         _require_both(rmse)
-        lines.append(
-            (preset.name, preset.status, trained.rows, rmse.get("validation"), rmse.get("test"), CONTRACT_VERSION)
-        )
-    schema = (
-        "model string, status string, sample_rows bigint, val_rmse double, test_rmse double, contract_version string"
-    )
-    return spark.createDataFrame(lines, schema).orderBy("val_rmse")
+        return self.rows, rmse
+
+    def close(self) -> None:
+        self.training.unpersist()
+
+
+def encode(rows: DataFrame, obt: DataFrame, settings: Settings, levels: int, weights: dict[str, float]) -> Encoded:
+    features = with_trip_features(rows)
+    preprocessor = fit_preprocessor(features, levels)
+    vectors = to_vectors(preprocessor, with_fleet_weight(features, weights), TARGET, "weight").persist()
+    count = vectors.count()
+    if count == 0:
+        raise ValueError("no rows to train on")
+    held_out = with_split(obt, settings).filter(F.col("split") != "train")
+    return Encoded(vectors, count, to_vectors(preprocessor, held_out, "split", TARGET))
 
 
 def train_production(
@@ -120,6 +182,7 @@ def train_production(
         preset.name,
         preset.status,
         trained.rows,
+        strategy(settings),
         CONTRACT_VERSION,
         ",".join(settings.fleets),
         json.dumps({fleet: round(weight, 6) for fleet, weight in trained.weights.items()}, sort_keys=True),
@@ -127,7 +190,7 @@ def train_production(
         *[facts.get(name) for name in names],
     )
     schema = (
-        "model string, status string, sample_rows bigint, contract_version string, fleets string, "
+        "model string, status string, sample_rows bigint, training_strategy string, contract_version string, fleets string, "
         "fleet_weights string, feature_audit string, " + ", ".join(f"{name} double" for name in names)
     )
     table = obt.sparkSession.createDataFrame([line], schema)
@@ -140,16 +203,21 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+SHOWN = ("val_rmse", "val_mae", "val_med_ae", "val_r2", "test_rmse")
+
+
 def model_facts(spark: SparkSession, root: str) -> DataFrame:
     """What a service reports about the stored model."""
     facts = spark.read.parquet(f"{root}/facts")
-    shown = ("val_rmse", "val_mae", "val_med_ae", "val_r2", "test_rmse")
-    return facts.select(
-        "model",
-        "sample_rows",
-        "contract_version",
-        "fleets",
-        *[F.round(name, 4).alias(name) for name in shown],
-    )
-
-
+    kept = ("model", "sample_rows", "training_strategy", "contract_version", "fleets")
+    return facts.select(*kept, *[F.round(name, 4).alias(name) for name in SHOWN])
+
+
+def service_health(spark: SparkSession, root: str) -> DataFrame:
+    """One row: whether a model is stored, and its facts, which are NULL without one."""
+    if snapshots.exists(spark, f"{root}/facts") and snapshots.exists(spark, f"{root}/model"):
+        facts = model_facts(spark, root)
+    else:
+        columns = "model string, sample_rows bigint, training_strategy string, contract_version string, fleets string, "
+        facts = spark.createDataFrame([(None,) * 10], columns + ", ".join(f"{name} double" for name in SHOWN))
+    return facts.select(F.lit("ok").alias("status"), F.col("model").isNotNull().alias("model_loaded"), "*")

@@ -270,7 +270,7 @@ def test_benchmark_orders_by_validation_error(days, january):
 
 def test_production_model_is_stored_with_its_facts(spark, days, january):
     root = new_folder(spark, "model")
-    facts = training.train_production(with_trip_features(days), january, root, small("xgboost", rounds=3, leaf=1)).first()
+    facts = training.train_production(with_trip_features(days), january, root, small("xgboost", rounds=2, child_weight=1)).first()
     assert facts["sample_rows"] == 21 and facts["val_rmse"] >= 0 and facts["test_r2"] is not None
     assert training.model_facts(spark, root).first()["model"] == "xgboost"
     model = training.load_model(f"{root}/model")

@@ -22,11 +22,15 @@ def values(kind, n):
 
 
 @pytest.mark.parametrize("kind", ["continuous", "tiny", "huge", "hot", "signed_zero"])
-@pytest.mark.parametrize("few_groups", [True, False])
-def test_percentiles_equal_numpy(spark, kind, few_groups):
+@pytest.mark.parametrize("way", ["brackets", "missed brackets", "large brackets"])
+def test_percentiles_equal_numpy(spark, monkeypatch, kind, way):
+    # few values to a sketch, so that brackets are narrow; without a margin some miss their rank
+    monkeypatch.setattr(quantiles, "SKETCH", 100)
+    monkeypatch.setattr(quantiles, "MARGIN", 0.0 if way == "missed brackets" else 0.06)
+    monkeypatch.setattr(quantiles, "BRACKET_VALUES", 1 if way == "large brackets" else 10_000)
     frame = pd.DataFrame({"g": ["a"] * 1 + ["b"] * 2 + ["c"] * 997, "v": values(kind, 1000)})
     df = spark.createDataFrame(frame).repartition(5)
-    rows = quantiles.exact_percentiles(df, ["v"], POINTS, ["g"], few_groups).collect()
+    rows = quantiles.exact_percentiles(df, ["v"], POINTS, ["g"]).collect()
     assert len(rows) == 3
     for row in rows:
         expected = np.quantile(frame.loc[frame.g == row["g"], "v"], POINTS)
@@ -39,6 +43,27 @@ def test_percentiles_leave_out_missing_values(spark):
     assert quantiles.medians(df.limit(0), ["v"]).count() == 0
 
 
+def test_groups_and_columns_without_values_are_kept(spark):
+    rows = [("a", 1.0, None), ("a", 2.0, None), (None, 4.0, None), (None, 5.0, 7.0), ("c", None, None)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    got = {(r.g, r.column): r for r in quantiles.summaries(df, ["x", "y"], [0.5], ["g"], lambda v: {"top": F.max(v)}, {"rows": F.count("*")}).collect()}
+    assert len(got) == 6
+    assert got["a", "x"][2:] == (2, [1.5], 2.0, 2) and got["a", "y"][2:] == (0, None, None, 2)
+    assert got[None, "x"][2:] == (2, [4.5], 5.0, 2) and got[None, "y"].quantiles == [7.0]
+    assert got["c", "x"].n == 0
+    nothing = quantiles.summaries(df.limit(0), ["x"], [0.5], extra={"rows": F.count("*")}).collect()
+    assert [(r.n, r.quantiles, r.rows) for r in nothing] == [(0, None, 0)]
+
+
+def test_percentiles_read_their_input_twice(spark, tmp_path):
+    spark.range(50_000).select((F.col("id") % 7).alias("g"), F.hash("id").cast("double").alias("v")).write.parquet(str(tmp_path / "in"))
+    opened = spark.sparkContext.accumulator(0)
+    made = spark.read.parquet(str(tmp_path / "in"))
+    counted = made.mapInArrow(lambda batches: ((opened.add(b.num_rows), b)[1] for b in batches), made.schema)
+    rows = quantiles.exact_percentiles(counted, ["v"], [0.25, 0.5, 0.75], ["g"]).collect()
+    assert len(rows) == 7 and opened.value == 100_000
+
+
 def test_samples_are_exact_repeatable_and_equal_brute_force(spark):
     # One stratum holds most rows, one is short, and copies of one row tie.
     df = spark.range(3000).select(

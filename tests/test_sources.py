@@ -123,13 +123,6 @@ def test_zone_names_that_look_missing_stay_names(spark):
     assert (facts["pickup_is_airport"], facts["dropoff_is_airport"], facts["dropoff_borough"]) == (1, 0, "Unknown")
 
 
-def test_a_large_dimension_is_not_broadcast(spark):
-    zones = spark.createDataFrame([(1, "b", "z", "s"), (2, "b", "z", "s")], "location_id bigint, borough string, zone string, service_zone string")
-    hinted = lookups.small_or_plain(zones, 2)._jdf.queryExecution().logical().toString()
-    plain = lookups.small_or_plain(zones, 1)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted and "broadcast" not in plain
-
-
 def test_ledger(spark):
     path = f"{new_folder(spark, 'ledger')}"
     assert ledger.read_runs(spark, path).count() == 0
