@@ -8,7 +8,8 @@ Scoring gathers the matrix rows of a batch of texts and sums them text by text.
 N-grams run over code points of the lower-cased text with one space at either end. A text that is null
 or has no letter is ``und`` with score 0, and such rows are not learnt from. Null labels are not learnt from.
 Without any labelled row every text is ``und``. Ties go to the language that sorts first. Very long
-texts are cut into pieces for the counting; their n-grams, but the few across a cut, all count.
+texts are read in pieces that overlap by two code points, so every n-gram of the whole text counts once, wherever the cuts are. Rows that
+repeat a labelled text are learnt from each time, an empty table gives no rows, and other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,30 +41,38 @@ class LanguageModel:
     weights: np.ndarray  # BUCKETS + 1 rows; the last is for n-grams across two texts and holds zeros
 
 
-def _pieces(texts: pa.Array, languages: int = 1) -> Iterator[tuple[list[int], list[str]]]:
-    """Text numbers and lower-cased pieces, about PIECE_CHARS characters at a time; fewer for many languages."""
+def _pieces(texts: pa.Array, languages: int = 1) -> Iterator[tuple[list[int], list[str], list[int]]]:
+    """Text numbers, lower-cased pieces and the overlap at the beginning of each, about PIECE_CHARS characters at a time; fewer for many languages."""
     chars = min(PIECE_CHARS, max(1 << 12, 8 * PIECE_CHARS // languages))
+    overlap = max(ORDERS) - 1
     rows: list[int] = []
     parts: list[str] = []
+    skips: list[int] = []
     size = 0
     for row, one in enumerate(texts):
-        text = (one.as_py() or "").lower()
-        for begin in range(0, len(text) or 1, chars):
-            part = text[begin : begin + chars]
+        text = f" {(one.as_py() or '').lower()} "
+        for begin in range(0, len(text), chars):
+            part = text[max(0, begin - overlap) : begin + chars]
             rows.append(row)
-            parts.append(f" {part} ")
+            parts.append(part)
+            skips.append(min(begin, overlap))
             size += len(part)
             if size >= chars:
-                yield rows, parts
-                rows, parts, size = [], [], 0
+                yield rows, parts, skips
+                rows, parts, skips, size = [], [], [], 0
     if rows:
-        yield rows, parts
+        yield rows, parts, skips
 
 
-def _buckets(parts: list[str]) -> tuple[Iterator[np.ndarray], np.ndarray]:
-    """For each order the bucket at every code point (BUCKETS where it would cross a piece's end); where pieces begin."""
+def _buckets(parts: list[str], skips: list[int]) -> tuple[Iterator[np.ndarray], np.ndarray]:
+    """For each order the bucket at every code point; where pieces begin.
+
+    The bucket is BUCKETS where the n-gram would cross a piece's end, or lies in the overlap with the piece before.
+    """
     code = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
     stops = np.cumsum([len(part) for part in parts])
+    starts = np.r_[0, stops[:-1]]
+    skipped = np.array(skips)
 
     def by_order() -> Iterator[np.ndarray]:
         hashed = np.zeros(len(code), np.uint32)
@@ -77,9 +86,12 @@ def _buckets(parts: list[str]) -> tuple[Iterator[np.ndarray], np.ndarray]:
                 bucket = ((hashed * _MIX) >> shift).astype(np.int32)
                 for back in range(1, order):
                     bucket[np.maximum(stops - back, 0)] = BUCKETS
+                # of the overlap only n-grams that end behind it are new
+                for place in range(max(ORDERS) - order):
+                    bucket[starts[skipped - order + 1 > place] + place] = BUCKETS
                 yield bucket
 
-    return by_order(), np.r_[0, stops[:-1]]
+    return by_order(), starts
 
 
 def train(rows: DataFrame, text: str = "text", label: str = "lang") -> LanguageModel:
@@ -94,14 +106,14 @@ def train(rows: DataFrame, text: str = "text", label: str = "lang") -> LanguageM
         seen: dict[str, int] = {}
         for batch in batches:
             labels = batch.column(0).to_pylist()
-            for numbers, parts in _pieces(batch.column(1)):
+            for numbers, parts, skips in _pieces(batch.column(1)):
                 kinds = [labels[number] for number in numbers]
                 names = sorted(set(kinds))
                 if len(counts) + len(names) > 2 * MAX_LANGUAGES:
                     raise ValueError(f"more than {MAX_LANGUAGES} languages")
                 kind = np.repeat([names.index(k) for k in kinds], [len(part) for part in parts])
                 total = np.zeros(len(names) * (BUCKETS + 1), np.int64)
-                for bucket in _buckets(parts)[0]:
+                for bucket in _buckets(parts, skips)[0]:
                     total += np.bincount(kind * (BUCKETS + 1) + bucket, minlength=len(total))
                 for name, row in zip(names, total.reshape(len(names), -1), strict=True):
                     counts[name] = counts.get(name, 0) + row[:BUCKETS]
@@ -133,10 +145,12 @@ def train(rows: DataFrame, text: str = "text", label: str = "lang") -> LanguageM
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     counts = np.zeros((len(languages), BUCKETS))
     texts = np.zeros(len(languages))
-    for row in model_rows.to_pylist():
-        at = languages.index(row["language"])
-        counts[at, row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = row["counts"]
-        texts[at] += row["texts"]
+    # counts stay in Arrow and numpy: a Python object for each would not fit the driver
+    values = model_rows["counts"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, SLICE)
+    at = np.searchsorted(languages, model_rows["language"].to_pylist())
+    for row, (nth, part) in enumerate(zip(at.tolist(), model_rows["slice"].to_pylist(), strict=True)):
+        counts[nth, part * SLICE : (part + 1) * SLICE] = values[row]
+    np.add.at(texts, at, model_rows["texts"].to_numpy())
     smooth = counts + SMOOTHING
     weights = np.zeros((BUCKETS + 1, len(languages)), np.float32)
     weights[:BUCKETS] = np.log(smooth / smooth.sum(axis=1, keepdims=True)).T
@@ -157,8 +171,8 @@ def predict(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
                 [pa.array([UNKNOWN] * len(texts)), pa.array([0.0] * len(texts))], ["lang_pred", "score"]
             )
         total = np.tile(fitted.prior, (len(texts), 1))
-        for rows, parts in _pieces(texts, n):
-            by_order, starts = _buckets(parts)
+        for rows, parts, skips in _pieces(texts, n):
+            by_order, starts = _buckets(parts, skips)
             for bucket in by_order:
                 sums = np.add.reduceat(fitted.weights[bucket], starts, axis=0, dtype=np.float64)
                 np.add.at(total, rows, sums)

@@ -11,7 +11,7 @@ target. Which digest that is comes from word counts by digest prefix, so that on
 prefix in each source are put in order; a hot source is spread over all prefixes.
 
 Null texts have size 0 and are taken as often as any, giving no words. Null sources form a source of
-their own, the last one. Rows that repeat id and text share one digest and are taken alike. The result
+their own, the last one. Rows that repeat id and text share one digest and are taken alike, so a target may be missed by half of the words of such a group. The result
 depends on the rows alone, so reruns agree. An empty table gives no rows.
 """
 
@@ -32,8 +32,10 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def order_digest(doc_id: Column, seed: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("-"))))
+def order_digest(doc_id: Column, text: Column, seed: str) -> Column:
+    """Where a document stands in the order of its source: by id and text, so rows without an id are told apart."""
+    parts = F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(":"), F.coalesce(text, F.lit(""))
+    return F.md5(F.concat(*parts).cast("binary"))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], budget: float, epochs: float) -> DataFrame:
@@ -69,12 +71,13 @@ def mix(
 ) -> DataFrame:
     """All rows with ``size``, ``source_size``, ``target`` and ``repeats``, the number of times the row is taken.
 
-    Columns of those names in ``docs`` are replaced.
+    Columns of those names in ``docs`` are replaced; other names may be the same as ours.
     """
     made = ("size", "source_size", "target", "repeats")
     kept = [name for name in docs.columns if name not in made]
-    key, prefix = order_digest(F.col("doc_id"), seed), F.col("_digest").substr(1, PREFIX)
-    sized = docs.select(*kept, n_words(F.col(text)).alias("size"), key.alias("_digest"))
+    key, prefix = order_digest(F.col("doc_id"), F.col(text), seed), F.col("_digest").substr(1, PREFIX)
+    # the given columns travel in one struct, so that no name of ours can meet one of theirs
+    sized = docs.select(F.struct(*kept).alias("given"), "source", n_words(F.col(text)).alias("size"), key.alias("_digest"))
     narrow = cut_lineage(
         sized.groupBy("source", prefix.alias("prefix")).agg(F.sum("size").alias("words"))
     )
@@ -107,4 +110,4 @@ def mix(
         .otherwise(F.col("_digest") <= F.col("_last")),
         F.lit(False),
     ) & (F.col("rest") > 0)
-    return final.select(*kept, "size", "source_size", "target", (F.col("whole") + extra.cast("bigint")).alias("repeats"))
+    return final.select("given.*", "size", "source_size", "target", (F.col("whole") + extra.cast("bigint")).alias("repeats"))

@@ -68,15 +68,16 @@ URL_RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
-#: The list of URLs to block: pages of hosts whose first label names such a site.
-LISTED_HOSTS = r"^(adult|free)-"
+#: The list of URLs to block: those of pages whose text says such a word, whatever their hosts.
+LISTED_WORDS = r"(?i)(worthless|idiot|casino)"
 
 
 @registered
 def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's rule and verdict; without a rule, pages with a listed canonical URL are blocked."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.filter(urls.host(F.col("url")).rlike(LISTED_HOSTS)).select(urls.canonical(F.col("url")).alias("canonical"))
+    flagged = table(spark, sf_dir, "pages").filter(F.col("html").rlike(LISTED_WORDS))
+    listed = flagged.select(urls.canonical(F.col("url")).alias("canonical"))
     judged = urls.with_listed(pages, listed).select(
         "page_id", urls.host(F.col("url")).alias("host"), urls.path(F.col("url")).alias("path"), "listed"
     )

@@ -2,11 +2,11 @@
 
 OP4 = r"""
 WITH parts AS (
-  SELECT page_id, url,
+  SELECT page_id, url, coalesce(regexp_matches(html, '(?i)(worthless|idiot|casino)'), false) AS flagged,
          CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
   FROM pages
 ), split AS (
-  SELECT page_id,
+  SELECT page_id, flagged,
          coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1),
                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
          coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
@@ -22,7 +22,7 @@ WITH parts AS (
             CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canon
   FROM named
 ), listed AS (
-  SELECT DISTINCT canon FROM canonical WHERE regexp_matches(host, '^(adult|free)-') AND canon IS NOT NULL
+  SELECT DISTINCT canon FROM canonical WHERE flagged AND canon IS NOT NULL
 ), rules(verdict, name, start) AS (
   VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
          ('block', 'net', '/es/'), ('block', 'net', '/fr/')
@@ -41,7 +41,7 @@ FROM fits f LEFT JOIN listed l ON f.canon = l.canon
 MIXED = r"""
 sized AS (
   SELECT *, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('mix-1:' || coalesce(doc_id::VARCHAR, '-')) AS digest
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')) AS digest
   FROM {docs}
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS words FROM sized GROUP BY source

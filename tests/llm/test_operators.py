@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -258,6 +259,68 @@ def test_mix_comes_near_its_targets(spark):
     assert all(abs(taken - target) <= 0.05 * target for (_, target), taken in by_target.items())
 
 
+def test_rows_without_an_id_come_near_their_target(spark):
+    rows = [(None if i % 2 else i, prose(900 + i, 5 + i % 60), f"s{i % 2}", 1, 2, 3, "d") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, whole int, rest int, cut int, _digest string")
+    got = mixing.mix(docs, MIX_WEIGHTS).collect()
+    assert len(got) == 400 and all((r.whole, r.rest, r.cut, r["_digest"]) == (1, 2, 3, "d") for r in got)
+    for source in ("s0", "s1"):
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.repeats * r["size"] for r in mine) - mine[0].target) <= 70
+
+
+def test_language_of_a_long_text_equals_plain_counts(spark, monkeypatch):
+    rng = random.Random(21)
+    texts = ["".join(rng.choice("abcdeéß 日") for _ in range(n)) for n in (0, 1, 2, 3, 700, 2000)]
+
+    def plain(text):
+        marked = f" {text.lower()} "
+        return sum((collections.Counter(marked[i : i + n] for i in range(len(marked) - n + 1)) for n in language.ORDERS), collections.Counter())
+
+    def counted(chars):
+        monkeypatch.setattr(language, "PIECE_CHARS", chars)
+        total = np.zeros(language.BUCKETS + 1, np.int64)
+        for _, parts, skips in language._pieces(pa.array(texts)):
+            for bucket in language._buckets(parts, skips)[0]:
+                total += np.bincount(bucket, minlength=len(total))
+        return total[:-1]
+
+    whole = counted(1 << 19)
+    assert whole.sum() == sum(sum(plain(text).values()) for text in texts)
+    for chars in (1, 2, 3, 50, 701, 702):
+        assert (counted(chars) == whole).all()
+    # scores of a text in pieces are those of the whole, whatever the number of languages
+    labelled = spark.createDataFrame([(prose(70 + i, 30), "ab"[i % 2]) for i in range(20)] + [("x", None)], "text string, lang string")
+    model = language.train(labelled)
+    frame = spark.createDataFrame([(t,) for t in texts[1:]] + [(prose(99, 400),)], "text string")
+    scores = []
+    for chars in (1 << 19, 97):
+        monkeypatch.setattr(language, "PIECE_CHARS", chars)
+        scores.append([r.m.score for r in frame.select(language.predict(spark, model, F.col("text")).alias("m")).collect()])
+    assert scores[0] == pytest.approx(scores[1], rel=1e-6)
+
+
+def test_only_possible_hits_reach_the_exact_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(20_000).select("id", F.concat(F.lit("http://h"), F.col("id").cast("string"), F.lit(".org/a")).alias("url"), F.lit(7).alias("block"), F.lit(8).alias("_w0"))
+        rows = rows.union(spark.createDataFrame([(-1, None, 7, 8), (-2, "", 7, 8), (-3, "http://h0.org/a", 7, 8), (-4, "http://" + "x" * 100_000, 7, 8)], "id long, url string, block int, _w0 int"))
+        listed = rows.filter("id % 10 = 0").select(urls.canonical(F.col("url")).alias("canonical"))
+        judged = urls.with_listed(rows, listed)
+        got = judged.collect()
+        assert len(got) == 20_004 and all((r["block"], r["_w0"]) == (7, 8) for r in got)
+        assert {r["id"] for r in got if r["listed"]} == {*range(0, 20_000, 10), -3}
+        plan = judged._jdf.queryExecution().executedPlan().toString()
+        # pages are tested where they are read; the one shuffle of pages is that of possible hits
+        assert "NestedLoop" not in plan and plan.count("SortMergeJoin") <= 2
+        keyed = rows.withColumn("canon", urls.canonical(F.col("url")))
+        tested = urls.possible_hits(keyed, listed.distinct(), "canon", "may").filter("may").count()
+        assert 2_001 <= tested <= 2_001 + 18_000 * 0.01
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert urls.with_listed(rows.limit(0), listed).count() == 0
+
+
 def test_embeddings_of_odd_rows(spark):
     nan, inf, v = float("nan"), float("inf"), [1.0, 0.0, 0.5]
     rows = [(0, v, 1), (1, v, 1), (1, v, 1), (2, [2.0, 0.01, 1.0], 1), (3, v, 2), (4, v, None), (5, None, 1), (6, [0.0] * 3, 1), (7, [nan, 1.0, 1.0], 1), (8, [inf, 1.0, 1.0], 1), (9, [1.0, None, 1.0], 1), (10, [1.0, 0.0], 1), (11, [], 1)]
