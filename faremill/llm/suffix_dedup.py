@@ -1,4 +1,4 @@
-"""Exact removal of long repeated byte strings by suffix ranks.
+"""Exact removal of long repeated byte strings by sorted suffixes.
 
 A byte goes if a ``LENGTH``-byte string that covers it also starts somewhere else, in the same text or in another.
 
@@ -11,9 +11,9 @@ A byte goes if a ``LENGTH``-byte string that covers it also starts somewhere els
    bytes before its anchor holds the a bytes before it and the LENGTH - GRAM - b bytes behind it, so windows are dealt by the two halves of
    that range and by a digest of the bytes they must hold. Equal windows stay together, parts that stand alone go, and equal
    parts are collapsed; this goes on until every group fits. A range of one place leaves only equal windows, which are one row.
-3. Suffix ranks. Regions are dealt to shards by anchor. In a shard all starts are ranked by their first 8
-   bytes, then by doubling (16, 32, ... bytes) up to ``LENGTH``: starts of equal rank share that prefix.
-   Only starts that still share a rank with another one are ranked further.
+3. Suffixes. Regions are dealt to shards by anchor. The suffixes of a shard are sorted by external induced sorting with common-prefix
+   values (``induced``): a start whose neighbour in that order shares ``LENGTH`` bytes with it repeats. A shard's regions
+   are streamed to the task's own disk, where text and queues are, so a shard may be far larger than memory.
 4. The covered runs go back to every occurrence of a region and are cut out of the texts.
 
 Shards are sized by bytes; the regions of one anchor, or of one part of a refined anchor, stay together. Null and empty texts have no
@@ -24,6 +24,7 @@ texts are sieved in overlapping slices. Judged on the input, not on what is left
 from __future__ import annotations
 
 import functools
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from faremill.llm import induced
 from faremill.llm.common import bounded_batches, free_name, text_or_empty
 from faremill.llm.near_dedup import mix
 from faremill.session import cut_lineage
@@ -42,6 +44,7 @@ SHARD_BYTES = 4 << 20
 ANCHOR_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = np.uint64((1 << 23) - 1)
+_ROWS = 1 << 16
 
 
 @functools.cache
@@ -95,83 +98,71 @@ def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *made], names)
 
 
-def equal_prefixes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A number for each start, equal for equal strings of LENGTH bytes; -1 where no other start has the string.
-
-    Starts are ranked by their first 8 bytes, then by pairs of ranks half a length apart. ``data`` has
-    LENGTH bytes from every start.
-    """
-    depth = 8
-    wide = np.lib.stride_tricks.sliding_window_view(data, depth)
-    marks = np.zeros(len(data) + 1, np.int64)
-    np.add.at(marks, starts, 1)
-    np.add.at(marks, starts + LENGTH - depth + 1, -1)
-    places = np.flatnonzero(np.cumsum(marks)[:-1] > 0)
-    rank = np.full(len(data), -1, np.int64)
-    rank[places] = _dense(np.ascontiguousarray(wide[places]).view(np.uint64).ravel())
-    while depth < LENGTH:
-        step = min(depth, LENGTH - depth)
-        whole = rank[places] >= 0
-        ahead = places + step
-        able = whole & (ahead < len(data))
-        able[able] = rank[ahead[able]] >= 0
-        places = places[able]
-        fresh = _dense(rank[places] * (np.int64(len(data)) + 1) + rank[places + step])
-        rank[:] = -1
-        rank[places] = fresh
-        depth += step
-    at = rank[starts]
-    return np.where(at >= 0, at, -1)
-
-
-def _dense(keys: np.ndarray) -> np.ndarray:
-    """The rank of every key; -1 for keys that stand alone."""
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    new = np.r_[True, ordered[1:] != ordered[:-1]] if len(keys) else np.zeros(0, bool)
-    group = np.cumsum(new) - 1
-    alone = np.bincount(group, minlength=1)[group] == 1 if len(keys) else new
-    ranks = np.empty(len(keys), np.int64)
-    ranks[order] = np.where(alone, -1, group)
-    return ranks
-
-
-def _runs(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edges = np.diff(np.r_[False, covered, False].astype(np.int8))
-    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-
-
-def _shard(part: pa.Table) -> pa.Table:
-    """Covered runs of every region of a shard."""
-    part = part.sort_by("region")
-    raw = part["bytes"].to_pylist()
-    copies = part["copies"].to_numpy()
-    lengths = np.array([len(x) for x in raw], np.int64)
-    begins = np.r_[0, np.cumsum(lengths)[:-1]]
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    counts = lengths - LENGTH + 1
-    region = np.repeat(np.arange(len(raw)), counts)
-    starts = np.repeat(begins, counts) + np.arange(len(region)) - np.repeat(np.cumsum(counts) - counts, counts)
-    repeated = (equal_prefixes(data, starts) >= 0) | (copies[region] > 1)
-    marks = np.zeros(len(data) + 1, np.int64)
-    np.add.at(marks, starts[repeated], 1)
-    np.add.at(marks, starts[repeated] + LENGTH, -1)
-    begin, stop = _runs(np.cumsum(marks)[:-1] > 0)
-    # a run may touch the next region's: it is cut at the border
-    owner_first, owner_last = (np.searchsorted(begins, x, "right") - 1 for x in (begin, stop - 1))
-    rows, out_begin, out_stop = [], [], []
-    for b, s, i, j in zip(begin.tolist(), stop.tolist(), owner_first.tolist(), owner_last.tolist(), strict=True):
-        for one in range(i, j + 1):
-            rows.append(one)
-            out_begin.append(max(b, begins[one]) - begins[one])
-            out_stop.append(min(s, begins[one] + lengths[one]) - begins[one])
-    return pa.table(
-        {
-            "region": part["region"].combine_chunks().take(pa.array(rows, pa.int64())),
-            "begin": pa.array(out_begin, pa.int64()),
-            "stop": pa.array(out_stop, pa.int64()),
-        }
-    )
+class _Shard:
+    """The regions of one shard, in the order in which they come; their bytes go to the task's own disk beyond ``induced.IN_MEMORY``."""
+
+    def __init__(self, shard: int):
+        self.shard, self.regions, self.lengths, self.shared = shard, [], [], []
+        self.data = tempfile.SpooledTemporaryFile(induced.IN_MEMORY)
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        self.regions += rows["region"].to_pylist()
+        self.shared += [n > 1 for n in rows["copies"].to_pylist()]
+        for one in rows["bytes"]:
+            self.lengths.append(self.data.write(one.as_buffer()))
+
+    def covered(self) -> Iterator[pa.RecordBatch]:
+        """Runs of bytes of every region that lie in a string of LENGTH bytes that starts twice."""
+        count = len(self.lengths)
+        # every region ends with a symbol of its own, the last one with 0
+        text = induced.room(sum(self.lengths) + count, np.int32)
+        at = 0
+        self.data.seek(0)
+        for i, length in enumerate(self.lengths, 1):
+            np.add(np.frombuffer(self.data.read(length), np.uint8), np.int32(count), out=text[at : at + length])
+            at += length + 1
+            text[at - 1] = i % count
+        places, common = induced.sorted_suffixes(text, count + 256, LENGTH)
+        twice = induced.room(len(text), np.bool_)
+        for begin in range(0, len(text), induced.BLOCK):
+            slots = begin + np.flatnonzero(common[begin : begin + induced.BLOCK] >= LENGTH)
+            twice[places[slots]] = True
+            twice[places[slots - 1]] = True
+        rows, begins, stops, at = [], [], [], 0
+        for region, length, shared in zip(self.regions, self.lengths, self.shared, strict=True):
+            if shared:
+                rows.append(region)
+                begins.append(0)
+                stops.append(length)
+            else:
+                starts = np.flatnonzero(twice[at : at + length - LENGTH + 1])
+                if len(starts):
+                    gaps = np.flatnonzero(np.diff(starts) > LENGTH)
+                    rows += [region] * (len(gaps) + 1)
+                    begins += [int(starts[0]), *starts[gaps + 1].tolist()]
+                    stops += [*(starts[gaps] + LENGTH).tolist(), int(starts[-1]) + LENGTH]
+            at += length + 1
+        for i in range(0, len(rows), _ROWS):
+            made = [pa.array(rows[i : i + _ROWS], pa.string()), *(pa.array(x[i : i + _ROWS], pa.int64()) for x in (begins, stops))]
+            yield pa.RecordBatch.from_arrays(made, ["region", "begin", "stop"])
+
+
+def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Covered runs, shard by shard; rows come sorted by shard."""
+    now = None
+    for batch in batches:
+        shards = batch["shard"].to_numpy()
+        edges = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1).tolist(), len(shards)]
+        for begin, stop in zip(edges[:-1], edges[1:], strict=True):
+            if begin == stop:
+                continue
+            if now is None or now.shard != shards[begin]:
+                if now is not None:
+                    yield from now.covered()
+                now = _Shard(shards[begin])
+            now.add(batch.slice(begin, stop - begin))
+    if now is not None:
+        yield from now.covered()
 
 
 def _keys(docs: DataFrame, text: str) -> list[Column]:
@@ -254,8 +245,8 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     total = groups.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards))
-    dealt = groups.withColumnRenamed("part", "region").withColumn("shard", shard).repartition(shards, "shard")
-    found = dealt.groupBy("shard").applyInArrow(_shard, "region string, begin long, stop long").withColumnRenamed("region", "part")
+    dealt = groups.withColumnRenamed("part", "region").withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard")
+    found = dealt.mapInArrow(_covered, "region string, begin long, stop long").withColumnRenamed("region", "part")
     found = cut_lineage(found.distinct().groupBy("part").agg(F.collect_list(F.struct("begin", "stop")).alias("runs")))
 
     def moved(by: str) -> Column:
