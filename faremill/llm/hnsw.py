@@ -6,8 +6,9 @@ Vectors get one more component that makes their lengths equal, so that the large
 the nearest neighbour. Nodes are inserted and queries searched in batches: one step of the beam search
 expands the best nodes of all queries of a batch at once. Neighbours are chosen for diversity.
 
-A stated query set is compared with all shards, in blocks of about ``QUERIES`` queries; every shard
-returns its best and the results are merged, at most ``k`` rows for a query and shard. Only the search within a shard is approximate;
+A stated query set is compared with all shards: each shard's arrays go to one task, which streams the queries past them, ``QUERIES``
+at a time; every shard returns its best and the results are merged, at most ``k`` rows for a query and shard. Fewer and larger
+shards (``size`` of ``index``) make fewer copies of the queries. Only the search within a shard is approximate;
 scores are exact inner products of the original vectors in double precision.
 
 Equal vectors are one node that carries its ``k`` + 1 smallest ids, which is all that a result can need.
@@ -164,12 +165,12 @@ class Graph:
         return found
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    lists = column.combine_chunks()
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
 
 
-def index(rows: DataFrame, k: int, vector: str = "embedding", name: str = "vec_id") -> DataFrame:
+def index(rows: DataFrame, k: int, vector: str = "embedding", name: str = "vec_id", size: int = SHARD) -> DataFrame:
     """One row a shard: (shard, dim, ids, vectors, levels, neighbours, sizes), the arrays as bytes."""
     given = rows.select(F.col(name).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
     given = given.filter(F.col("id").isNotNull() & usable(F.col("vector")))
@@ -182,7 +183,7 @@ def index(rows: DataFrame, k: int, vector: str = "embedding", name: str = "vec_i
         .agg(F.first("vector").alias("vector"), F.sort_array(F.collect_list("id")).alias("ids"))
         .withColumn("dim", F.size("vector"))
     )
-    counts = distinct.groupBy("dim").agg(F.ceil(F.count("*") / SHARD).cast("bigint").alias("shards"))
+    counts = distinct.groupBy("dim").agg(F.ceil(F.count("*") / size).cast("bigint").alias("shards"))
     dealt = distinct.join(counts, "dim").withColumn(
         "shard", F.concat_ws("-", "dim", F.pmod(F.xxhash64("node"), F.col("shards")))
     )
@@ -208,56 +209,70 @@ def index(rows: DataFrame, k: int, vector: str = "embedding", name: str = "vec_i
     return dealt.select("shard", "node", "vector", "ids").groupBy("shard").applyInArrow(build, schema)
 
 
+ARRAYS = ["dim", "ids", "sizes", "vectors", "levels", "neighbours"]
+
+
+class _Stored:
+    """A shard's graph from its row of flat arrays, with the ids of every node."""
+
+    def __init__(self, row: dict):
+        self.vectors = np.frombuffer(row["vectors"]).reshape(-1, row["dim"])
+        squared = np.einsum("ij,ij->i", self.vectors, self.vectors)
+        lifted = np.c_[self.vectors, np.sqrt(np.maximum(squared.max() - squared, 0))].astype(np.float32)
+        tables = [np.frombuffer(x, np.int32).reshape(len(self.vectors), -1) for x in row["neighbours"]]
+        self.graph = Graph(lifted, np.frombuffer(row["levels"], np.int32), tables)
+        self.sizes = np.frombuffer(row["sizes"], np.int32)
+        self.ids, self.starts = np.frombuffer(row["ids"], np.int64), np.r_[0, np.cumsum(self.sizes)]
+
+    def nearest(self, own: np.ndarray, points: np.ndarray, k: int) -> pa.RecordBatch:
+        """(query_id, vec_id, score) of the k nearest found for every query, without the query's own id."""
+        nodes = self.graph.search(points, max(EF_SEARCH, 2 * k))
+        which = np.repeat(np.arange(len(points)), nodes.shape[1])
+        node = nodes.ravel()
+        which, node = which[node >= 0], node[node >= 0]
+        score = np.einsum("ij,ij->i", self.vectors[node], points[which])
+        sizes = self.sizes[node]
+        member = np.repeat(np.arange(len(node)), sizes)
+        vec = self.ids[np.repeat(self.starts[node], sizes) + np.arange(len(member)) - np.repeat(np.cumsum(sizes) - sizes, sizes)]
+        which, score = which[member], score[member]
+        other = vec != own[which]
+        which, score, vec = which[other], score[other], vec[other]
+        order = np.lexsort((vec, -score, which))
+        which, score, vec = which[order], score[order], vec[order]
+        at = np.arange(len(which))
+        nth = at - np.maximum.accumulate(np.where(np.r_[True, which[1:] != which[:-1]][: len(at)], at, 0))
+        keep = nth < k
+        made = [pa.array(own[which[keep]], pa.int64()), pa.array(vec[keep], pa.int64()), pa.array(score[keep], pa.float64())]
+        return pa.RecordBatch.from_arrays(made, ["query_id", "vec_id", "score"])
+
+
 def search(built: DataFrame, queries: DataFrame, k: int, vector: str = "embedding", name: str = "vec_id") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for every query row, without rows of the query's own id."""
     given = queries.select(F.col(name).alias("query_id"), F.col(vector).cast("array<double>").alias("vector"))
     given = given.filter(F.col("query_id").isNotNull() & usable(F.col("vector")))
     asked = cut_lineage(given.groupBy("query_id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector")))
-    blocks = max(1, -(-asked.count() // QUERIES))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     shards = built.select(F.col("shard").alias("part"), F.col("dim").alias("length"))
-    met_by = asked.withColumn("ask", block).join(shards, F.col("dim") == F.col("length"))
-    left = met_by.select(F.concat("part", F.lit("")).alias("part"), "ask", "query_id", "vector")
-    right = built.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-
-    def look(key: tuple, asked_part: pa.Table, shard_part: pa.Table) -> pa.Table:
-        out: dict[str, list[np.ndarray]] = {"query_id": [], "vec_id": [], "score": []}
-        if asked_part.num_rows and shard_part.num_rows:
-            row = shard_part.to_pylist()[0]
-            vectors = np.frombuffer(row["vectors"]).reshape(-1, row["dim"])
-            levels = np.frombuffer(row["levels"], np.int32)
-            squared = np.einsum("ij,ij->i", vectors, vectors)
-            lifted = np.c_[vectors, np.sqrt(np.maximum(squared.max() - squared, 0))].astype(np.float32)
-            tables = [np.frombuffer(x, np.int32).reshape(len(vectors), -1) for x in row["neighbours"]]
-            graph = Graph(lifted, levels, tables)
-            sizes = np.frombuffer(row["sizes"], np.int32)
-            ids, starts = np.frombuffer(row["ids"], np.int64), np.r_[0, np.cumsum(sizes)]
-            query_ids = asked_part["query_id"].to_numpy()
-            points = _matrix(asked_part["vector"])
-            for begin in range(0, len(points), QUERIES):
-                part, own = points[begin : begin + QUERIES], query_ids[begin : begin + QUERIES]
-                nodes = graph.search(part, max(EF_SEARCH, 2 * k))
-                which = np.repeat(np.arange(len(part)), nodes.shape[1])
-                node = nodes.ravel()
-                which, node = which[node >= 0], node[node >= 0]
-                score = np.einsum("ij,ij->i", vectors[node], part[which])
-                member = np.repeat(np.arange(len(node)), sizes[node])
-                vec = ids[np.repeat(starts[node], sizes[node]) + np.arange(len(member)) - np.repeat(np.cumsum(sizes[node]) - sizes[node], sizes[node])]
-                which, score = which[member], score[member]
-                other = vec != own[which]
-                which, score, vec = which[other], score[other], vec[other]
-                order = np.lexsort((vec, -score, which))
-                which, score, vec = which[order], score[order], vec[order]
-                at = np.arange(len(which))
-                nth = at - np.maximum.accumulate(np.where(np.r_[True, which[1:] != which[:-1]][: len(at)], at, 0))
-                keep = nth < k
-                out["query_id"].append(own[which[keep]])
-                out["vec_id"].append(vec[keep])
-                out["score"].append(score[keep])
-        empty = {"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)}
-        return pa.table({name: np.concatenate([empty[name], *parts]) for name, parts in out.items()})
-
-    met = left.groupBy("part", "ask").cogroup(right.groupBy("shard", "block"))
-    found = met.applyInArrow(look, "query_id long, vec_id long, score double")
+    arrays = F.struct(*(F.col(one) for one in ARRAYS)).alias("arrays")
+    none = F.lit(None)
+    stored = built.select(F.col("shard").alias("part"), arrays, none.cast("bigint").alias("query_id"), none.cast("array<double>").alias("vector"))
+    met_by = asked.join(shards, F.col("dim") == F.col("length"))
+    asking = met_by.select("part", none.cast(stored.schema["arrays"].dataType).alias("arrays"), F.col("query_id").cast("bigint"), "vector")
+    # a shard's arrays come before its queries
+    work = stored.unionByName(asking).repartition(max(1, built.count()), "part").sortWithinPartitions("part", F.col("arrays").isNull())
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = None
+        for batch in batches:
+            holds = batch["arrays"].is_valid().to_numpy(zero_copy_only=False)
+            edges = sorted({0, *np.flatnonzero(holds).tolist(), *(np.flatnonzero(holds) + 1).tolist(), len(holds)})
+            for begin, stop in zip(edges[:-1], edges[1:], strict=True):
+                if holds[begin]:
+                    shard = _Stored(batch["arrays"][begin].as_py())
+                    continue
+                for at in range(begin, stop, QUERIES):
+                    part = batch.slice(at, min(QUERIES, stop - at))
+                    yield shard.nearest(part["query_id"].to_numpy(), _matrix(part["vector"]), k)
+
+    found = work.mapInArrow(look, "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
