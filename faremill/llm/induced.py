@@ -26,7 +26,7 @@ import numpy as np
 
 BLOCK = 1 << 15
 IN_MEMORY = 1 << 24
-DIRECT = 1 << 19
+DIRECT = 1 << 21
 FEW = 8
 
 
