@@ -4,8 +4,8 @@ A document is its sequence of five-word shingles (words: runs of letters, digits
 lower case; a text of fewer words is one shingle). Shingles are labelled by how often they stood before
 in the text, so repeats count. Each of ``SKETCHES`` sketches takes the ``MINIMA`` smallest labelled shingles under its own
 hash and keeps their text order; equal sketches make two documents candidates. A candidate pair is a link
-if the aligned similarity is at least ``SIMILARITY``: shingles matched in order, over shingles of either.
-Matches are sought only within the band of shifts that such a similarity allows.
+if the aligned similarity is at least ``SIMILARITY``: words matched in order, over words of either text. The alignment is
+the longest common subsequence of words, sought only within the band of shifts that such a similarity allows.
 
 Documents of the same words form one class, and only classes are compared. First, all classes of each bucket of
 equal sketches are compared with its centre: the class whose sketches are shared most. Then every pair of
@@ -13,7 +13,7 @@ classes that shares a bucket and is not yet connected is verified, in the first
 of a bucket outside of its largest component are cut into blocks and compared with each other and with the
 blocks of the largest component. Every pair of blocks is one unit of work, so no group is gathered in one task; a unit returns a
 spanning forest of its links, not its pairs. Inside a unit, a pair whose classes are connected by then is passed over, and
-common shingles are counted for many pairs at once before any is aligned.
+common words are counted for many pairs at once before any is aligned.
 
 Null and empty texts, and texts without a word, are never grouped. Rows that repeat id and text are one
 document. A group's id is its smallest doc_id (a null id comes last); the row that stays is the first by id, then
@@ -25,7 +25,6 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +39,7 @@ from faremill.session import cut_lineage
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 20
-MINIMA = 4
+MINIMA = 3
 BLOCK = 512
 BLOCK_BYTES = 4 << 20
 _WORD = re.compile(r"\w+")
@@ -62,12 +61,9 @@ def word_codes(text: str) -> np.ndarray:
     return np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
 
 
-def labelled_shingles(codes: np.ndarray) -> np.ndarray:
-    """Digests of the shingles in text order, each made distinct by the number of equal ones before it."""
-    n = max(1, len(codes) - SHINGLE + 1) if len(codes) else 0
-    digests = np.zeros(n, np.uint64)
-    for i in range(min(SHINGLE, len(codes))):
-        digests = mix(digests + codes[i : i + n] + _P[0])
+def labelled(digests: np.ndarray) -> np.ndarray:
+    """Digests made distinct by the number of equal ones before them."""
+    n = len(digests)
     order = np.argsort(digests, kind="stable")
     ordered = digests[order]
     at = np.arange(n)
@@ -77,6 +73,15 @@ def labelled_shingles(codes: np.ndarray) -> np.ndarray:
     return mix(digests + nth * _P[0])
 
 
+def labelled_shingles(codes: np.ndarray) -> np.ndarray:
+    """Digests of the shingles in text order, each made distinct by the number of equal ones before it."""
+    n = max(1, len(codes) - SHINGLE + 1) if len(codes) else 0
+    digests = np.zeros(n, np.uint64)
+    for i in range(min(SHINGLE, len(codes))):
+        digests = mix(digests + codes[i : i + n] + _P[0])
+    return labelled(digests)
+
+
 def sketch(labelled: np.ndarray) -> np.ndarray:
     """For each sketch the digest of its smallest labelled shingles, taken in text order."""
     values = mix(labelled[None, :] ^ _SEEDS[:, None])
@@ -89,27 +94,54 @@ def sketch(labelled: np.ndarray) -> np.ndarray:
     return key
 
 
+def banded_matches(left: np.ndarray, right: np.ndarray, band: int) -> int:
+    """Length of the longest common subsequence over matches that are shifted by ``band`` places at most.
+
+    One bit a place of ``right``, cleared where a match makes the subsequence longer; a whole row of the table is one
+    addition of long integers. Rows go in blocks of ``band``, and only the places that a block can reach are held.
+    """
+    step = max(band, 64)
+    places = right.tolist()
+    found, begin, stop, row = 0, 0, 0, 0
+    for at in range(0, len(left), step):
+        low, high = max(0, at - band), min(len(places), at + step + band)
+        if low >= high:
+            break
+        dropped = low - begin
+        found += dropped - (row & ((1 << dropped) - 1)).bit_count()
+        row = (row >> dropped) | (((1 << (high - stop)) - 1) << (stop - low))
+        begin, stop = low, high
+        where: dict[int, int] = {}
+        for place in range(low, high):
+            where[places[place]] = where.get(places[place], 0) | (1 << (place - low))
+        held = (1 << (high - low)) - 1
+        for code in left[at : at + step].tolist():
+            met = row & where.get(code, 0)
+            if met:
+                row = ((row + met) | (row - met)) & held
+    return found + (stop - begin) - row.bit_count()
+
+
 def aligned_similarity(left: np.ndarray, right: np.ndarray, at_least: float = SIMILARITY) -> float:
-    """Shingles matched in order over shingles of either text; 0 where ``at_least`` is out of reach.
+    """Words matched in order over words of either text; 0 where ``at_least`` is out of reach.
 
-    Labelled shingles are distinct within a text, so the best alignment is the longest rising run of
-    matched places. With similarity s, at most (1 - s) / (1 + s) of all shingles are unmatched, which
-    bounds the shift of any match: the band.
+    With similarity s, at most (1 - s) / (1 + s) of all words are unmatched, which bounds the shift of any match: the band.
+    Equal beginnings and ends are matched first, which no alignment can better.
     """
-    total = len(left) + len(right)
+    total, shorter = len(left) + len(right), min(len(left), len(right))
     need = at_least / (1 + at_least) * total
-    if min(len(left), len(right)) < need - 1e-9:
-        return 0.0
-    _, at_left, at_right = np.intersect1d(left, right, assume_unique=True, return_indices=True)
-    near = (np.abs(at_left - at_right) <= total - 2 * need + 1e-9) & (at_left < len(left)) & (at_right >= 0)
-    at_left, at_right = at_left[near], at_right[near]
-    if len(at_left) < need - 1e-9:
+    if not shorter or shorter < need - 1e-9:
         return 0.0
-    tails: list[int] = []
-    for place in at_right[np.argsort(at_left)].tolist():
-        at = bisect_left(tails, place)
-        tails[at : at + 1] = [place]
-    return len(tails) / (total - len(tails))
+    differs = np.flatnonzero(left[:shorter] != right[:shorter])
+    head = int(differs[0]) if len(differs) else shorter
+    left, right, shorter = left[head:], right[head:], shorter - head
+    differs = np.flatnonzero(left[::-1][:shorter] != right[::-1][:shorter])
+    tail = int(differs[0]) if len(differs) else shorter
+    left, right = left[: len(left) - tail], right[: len(right) - tail]
+    matched = head + tail
+    if len(left) and len(right):
+        matched += banded_matches(left, right, int(total - 2 * need + 1e-9))
+    return matched / (total - matched) if matched >= need - 1e-9 else 0.0
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -131,23 +163,23 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.mapInArrow(read, f"doc_id {kind}, key string, class binary, sketch array<bigint>")
 
 
-def _shingle_table(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
-    """(class, shingles) of the classes in ``wanted`` (class, key); shingles as bytes of 32-bit digests."""
+def _word_table(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
+    """(class, words) of the classes in ``wanted`` (class, key); words as bytes of 32-bit codes."""
     keyed = docs.select(document_key(F.col("doc_id"), F.col(text)).alias("key"), text_or_empty(F.col(text)).alias("text"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [labelled_shingles(word_codes(one.as_py())).astype(np.uint32).tobytes() for one in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["class", "shingles"])
+            made = [word_codes(one.as_py()).astype(np.uint32).tobytes() for one in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["class", "words"])
 
-    chosen = keyed.join(wanted, "key").select("class", "text").mapInArrow(read, "class binary, shingles binary")
-    return chosen.groupBy("class").agg(F.first("shingles").alias("shingles"))  # rows that repeat id and text
+    chosen = keyed.join(wanted, "key").select("class", "text").mapInArrow(read, "class binary, words binary")
+    return chosen.groupBy("class").agg(F.first("words").alias("words"))  # rows that repeat id and text
 
 
-def _verified(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """The pairs (a, b) whose aligned similarity reaches the threshold."""
-    left = shingles.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
-    right = shingles.select(F.col("class").alias("b"), F.col("shingles").alias("right"))
+    left = words.select(F.col("class").alias("a"), F.col("words").alias("left"))
+    right = words.select(F.col("class").alias("b"), F.col("words").alias("right"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,7 +203,8 @@ def _unit_links(bucket: int, sides: np.ndarray, both: bool, labels: np.ndarray,
     """A spanning forest of the links in a unit, beyond ``labels``; pairs of one side count only with ``both``."""
     sizes = np.array([len(x) for x in texts])
     begins = np.cumsum(sizes) - sizes
-    kinds, inverse = np.unique(np.concatenate(texts), return_inverse=True)
+    # words labelled by occurrence: no alignment matches more of them than two texts share
+    kinds, inverse = np.unique(np.concatenate([labelled(x.astype(np.uint64)) for x in texts]), return_inverse=True)
     share = SIMILARITY / (1 + SIMILARITY)
     component = np.unique(labels, return_inverse=True)[1]
     within, out = np.zeros(len(kinds), bool), []
@@ -211,7 +244,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = rows.filter(pa.array(buckets == bucket))
             labels = part["component"].to_pylist()
             keys = part["sketch"].combine_chunks().flatten().to_numpy().reshape(part.num_rows, -1)
-            texts = [np.frombuffer(x, np.uint32) for x in part["shingles"].to_pylist()]
+            texts = [np.frombuffer(x, np.uint32) for x in part["words"].to_pylist()]
             both = part["one_block"][0].as_py()
             found = _unit_links(bucket, part["side"].to_numpy(), both, np.array(labels, object), keys, texts)
             pairs += [(labels[x], labels[y]) for x, y in found]
@@ -271,15 +304,15 @@ def _links(docs: DataFrame, classes: DataFrame, text: str) -> DataFrame:
     members = cut_lineage(placed.join(shared, "bucket"))
     score = members.groupBy("class").agg(F.round(F.sum(F.log("n")), 6).alias("score"))
     members = cut_lineage(members.join(score, "class").select("bucket", "class", "score"))
-    shingles = cut_lineage(_shingle_table(docs, score.join(classes, "class").select("class", "key"), text))
+    words = cut_lineage(_word_table(docs, score.join(classes, "class").select("class", "key"), text))
     now = members.withColumn("component", F.col("class"))
     centres = cut_lineage(now.groupBy("bucket").agg(F.max(F.struct("score", "class", "component")).alias("centre")))
-    edges = cut_lineage(_verified(_pairs(now, centres), shingles))
+    edges = cut_lineage(_verified(_pairs(now, centres), words))
     labels = cut_lineage(components(edges)).withColumnRenamed("node", "class")
-    sizes = shingles.select("class", F.length("shingles").cast("bigint").alias("bytes"))
+    sizes = words.select("class", F.length("words").cast("bigint").alias("bytes"))
     known = cut_lineage(sizes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class")))
     units = _units(cut_lineage(members.select("bucket", "class").join(known, "class")))
-    full = units.join(shingles.join(classes.select("class", "sketch"), "class"), "class")
+    full = units.join(words.join(classes.select("class", "sketch"), "class"), "class")
     work = full.repartition("unit").sortWithinPartitions("unit", "class")
     fresh = cut_lineage(work.mapInArrow(_compared, "a binary, b binary"))
     joined = cut_lineage(components(fresh)).select(F.col("node").alias("component"), F.col("component").alias("whole"))

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -64,8 +65,18 @@ def test_digests_of_the_bpe_query(spark):
         assert row.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def word_similarity(left, right):
+    """Words matched in order over words of either text, by the full table."""
+    row = np.zeros(len(right) + 1, int)
+    right = np.array(right, object)
+    for word in left:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (right == word)))
+    return row[-1] / (len(left) + len(right) - row[-1])
+
+
 def brute_groups(texts):
-    marks = [near_dedup.labelled_shingles(near_dedup.word_codes(t or "")) for t in texts]
+    words = [re.findall(r"\w+", (t or "").lower()) for t in texts]
+    bags = [collections.Counter(w) for w in words]
     parent = list(range(len(texts)))
 
     def find(x):
@@ -75,7 +86,8 @@ def brute_groups(texts):
 
     for i in range(len(texts)):
         for j in range(i):
-            if len(marks[i]) and len(marks[j]) and near_dedup.aligned_similarity(marks[i], marks[j]) >= near_dedup.SIMILARITY:
+            total = len(words[i]) + len(words[j])
+            if words[i] and words[j] and (bags[i] & bags[j]).total() * 1.8 >= 0.8 * total and word_similarity(words[i], words[j]) >= 0.8:
                 a, b = sorted((find(i), find(j)))
                 parent[b] = a
     return [find(i) for i in range(len(texts))]
@@ -124,9 +136,41 @@ def test_blocks_of_a_bucket_equal_brute_force(spark, monkeypatch):
 
 def test_alignment_keeps_the_order():
     words = prose(7, 200).split()
-    mark = lambda w: near_dedup.labelled_shingles(near_dedup.word_codes(" ".join(w)))
-    assert near_dedup.aligned_similarity(mark(words), mark(words[:100] + ["new"] + words[101:])) > 0.9
+    mark = lambda w: near_dedup.word_codes(" ".join(w))
+    assert near_dedup.aligned_similarity(mark(words), mark(words[:100] + ["new"] + words[101:])) == 199 / 201
     assert near_dedup.aligned_similarity(mark(words), mark(words[100:] + words[:100])) == 0.0
+    assert near_dedup.aligned_similarity(mark(words), mark([])) == 0.0
+
+
+def test_banded_alignment_equals_the_full_table():
+    rng = random.Random(19)
+    for n in [1, 2, 5, 63, 64, 65, 200, 700]:
+        for kinds in (2, 6, 1000):
+            left = [f"w{rng.randrange(kinds)}" for _ in range(n)]
+            right = list(left)
+            for _ in range(rng.randrange(1 + n // 6)):
+                at = rng.randrange(len(right) + 1)
+                right[at : at + rng.randrange(2)] = [f"w{rng.randrange(kinds)}"] * rng.randrange(3)
+            want = word_similarity(left, right)
+            got = near_dedup.aligned_similarity(near_dedup.word_codes(" ".join(left)), near_dedup.word_codes(" ".join(right)))
+            assert got == (want if want >= near_dedup.SIMILARITY else 0.0)
+
+
+def test_sketches_find_pairs_of_similar_words(spark):
+    """Recall of near_dedup's candidates, against all pairs of word similarity 0.8 or more on sf0.01."""
+    texts = {r.text.lower() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if r.text}
+    words = sorted({tuple(re.findall(r"\w+", t)) for t in texts} - {()}, key=len)
+    codes = [near_dedup.word_codes(" ".join(w)) for w in words]
+    bags = [set(near_dedup.labelled(c).tolist()) for c in codes]
+    sketches = [near_dedup.sketch(near_dedup.labelled_shingles(c)) for c in codes]
+    found = []
+    for i, bag in enumerate(bags):
+        for j in range(i + 1, len(bags)):
+            if len(bag) < 0.8 * len(bags[j]):
+                break
+            if len(bag & bags[j]) * 1.8 >= 0.8 * (len(bag) + len(bags[j])) and near_dedup.aligned_similarity(codes[i], codes[j]):
+                found.append(bool((sketches[i] == sketches[j]).any()))
+    assert len(found) > 50 and np.mean(found) >= 0.9
 
 
 def test_near_duplicates_of_odd_rows(odd, nothing):
