@@ -34,6 +34,7 @@ FROM splits GROUP BY split, trip_type"""
 SQL["canonical_union"] = over_trips(f"SELECT {CANONICAL} FROM canonical")
 SQL["enabled_fleet_only"] = over_trips(f"SELECT {CANONICAL} FROM canonical WHERE trip_type = 'green'")
 SQL["normalised_raw"] = over_trips(f"SELECT {CANONICAL} FROM canonical WHERE trip_type = 'yellow'")
+SQL["normalised_green"] = SQL["enabled_fleet_only"]
 SQL["fleet_names"] = over_trips(
     """SELECT given, CASE WHEN given IS NULL OR trim(given) = '' THEN 'yellow' ELSE lower(trim(given)) END AS trip_type,
        count(*) AS rows
@@ -579,6 +580,11 @@ SQL["load_audit"] = over_trips(
     """SELECT file_name, trip_type, period_label, 'COPIED' AS copy_status, rows AS rows_loaded FROM monthly""",
     MONTHLY,
 )
+SQL["file_catalogue"] = over_trips(
+    """SELECT file_name, rows, first_pickup, last_pickup FROM monthly
+WHERE first_pickup < TIMESTAMP '1997-01-01' AND last_pickup >= TIMESTAMP '1996-01-01'""",
+    MONTHLY,
+)
 SQL["audit_upsert"] = over_trips(
     """SELECT file_name, CASE WHEN rows > 300 THEN 'COPIED' ELSE 'STAGED_ONLY' END AS copy_status,
        CASE WHEN rows > 300 THEN rows ELSE 0 END AS rows_loaded,
@@ -598,6 +604,15 @@ UNION ALL SELECT 'obt', true, count(*) FROM obt
 UNION ALL SELECT split, true, count(*) FROM splits GROUP BY split
 UNION ALL SELECT 'scored', false, 0"""
 )
+SQL["layer_statistics"] = over_trips(
+    """SELECT 'staging' AS layer, NULL AS split, f.trip_type, count(s.trip_type) AS rows,
+       min(pickup_datetime) AS first_pickup, max(pickup_datetime) AS last_pickup
+FROM (VALUES ('yellow'), ('green')) f(trip_type) LEFT JOIN staging s USING (trip_type) GROUP BY f.trip_type
+UNION ALL
+SELECT 'obt', p.split, f.trip_type, count(s.trip_type), min(pickup_datetime), max(pickup_datetime)
+FROM (VALUES ('yellow'), ('green')) f(trip_type) CROSS JOIN (VALUES ('train'), ('validation'), ('test')) p(split)
+LEFT JOIN splits s USING (trip_type, split) GROUP BY p.split, f.trip_type"""
+)
 SQL["stored_obt"] = SQL["incremental_obt"] = SQL["obt_trips"]
 SQL["fleet_probe"] = over_trips(
     """SELECT trip_type AS fleet, true AS present, count(*) AS rows FROM canonical GROUP BY trip_type
@@ -634,6 +649,24 @@ FROM (SELECT {expr} AS x, count(*) AS n FROM canonical GROUP BY 1) WHERE x IS NO
     )
 )
 CATEGORIES = list(RAW_CATEGORIES)
+SQL["category_dictionary"] = over_trips(
+    "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS "column", x AS value, n, row_number() OVER (ORDER BY x) - 1 AS id
+FROM (SELECT ({expr})::VARCHAR AS x, count(*) AS n FROM canonical GROUP BY 1) WHERE x IS NOT NULL"""
+        for name, expr in RAW_CATEGORIES.items()
+    )
+)
+CODED = ("pickup_location_id", "dropoff_location_id", "route_id")
+SQL["category_ids"] = over_trips(
+    f"""SELECT {", ".join(f"{name}_known.id AS {name}_id" for name in CODED)}, count(*) AS rows FROM splits
+"""
+    + "\n".join(
+        f"""LEFT JOIN (SELECT x, row_number() OVER (ORDER BY x) - 1 AS id
+  FROM (SELECT DISTINCT {name}::VARCHAR AS x FROM splits WHERE split = 'train')) {name}_known ON {name}_known.x = splits.{name}::VARCHAR"""
+        for name in CODED
+    )
+    + "\nWHERE split = 'validation' GROUP BY 1, 2, 3"
+)
 SQL["feature_matrix_shape"] = over_trips(
     "SELECT count(*) AS rows, 11 + "
     + " + ".join(f"count(DISTINCT {name})" for name in CATEGORIES)

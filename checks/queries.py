@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import date
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -16,11 +17,12 @@ from faremill.functions import trip as fn
 from faremill.functions.rules import within_days
 from faremill.operators import cleaning, features, learners, lookups, metrics, preprocess, reports, requests, sampling, splits
 from faremill.operators.canonical import canonical_trips, normalise_frame
+from faremill.operators.dictionary import with_ids
 from faremill.operators.quantiles import exact_percentiles
 from faremill.plans import incremental, scoring, training
-from faremill.plans.layers import build_layers
-from faremill.session import new_folder
-from faremill.sources import audit, ledger, months, raw_files, tables
+from faremill.plans.layers import build_layers, read_statistics
+from faremill.session import cut_lineage, new_folder
+from faremill.sources import audit, catalogue, ledger, months, raw_files, tables
 from faremill.sources import zones as zone_source
 from faremill.streaming import arrivals
 
@@ -75,6 +77,13 @@ def normalised_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(frame.drop("store_and_fwd_flag"))
 
 
+@registered
+def normalised_green(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw green names to canonical names: its dispatch code is no fleet."""
+    frame = normalise_frame(raw(spark, sf_dir)["green"])
+    return rounded(frame.drop("store_and_fwd_flag", "ehail_fee").withColumn("airport_fee", F.lit(None).cast("double")))
+
+
 @registered
 def fleet_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fleet names given with blanks, in capitals, empty or not at all."""
@@ -591,6 +600,16 @@ def loaded_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(canonical_trips(loaded, SETTINGS))
 
 
+@registered
+def file_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and span of pickups of the monthly files of one year, from the footers of their part files."""
+    parts = catalogue.footers(spark, [_landing(spark, sf_dir)])
+    held = catalogue.within(parts, date(1996, 1, 1), date(1996, 12, 31))
+    return held.groupBy("file_name").agg(
+        F.sum("rows").alias("rows"), F.min("first_pickup").alias("first_pickup"), F.max("last_pickup").alias("last_pickup")
+    )
+
+
 @registered
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit after two loads, the second of which repeats every file."""
@@ -673,6 +692,14 @@ def stored_obt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(build_layers(raw(spark, sf_dir), SETTINGS, root)["obt"])
 
 
+@registered
+def layer_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and span of pickups by layer, split and fleet, noted while the layers were written."""
+    root = new_folder(spark, "layers")
+    build_layers(raw(spark, sf_dir), SETTINGS, root)
+    return read_statistics(spark, root)
+
+
 @registered
 def incremental_obt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The modelling table of a store that was built from part of the months and brought up to date twice."""
@@ -715,6 +742,22 @@ def category_preprocessing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preprocess.category_statistics(features.with_trip_features(canonical(spark, sf_dir)))
 
 
+@registered
+def category_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and dense id of every categorical value of the raw trips."""
+    return preprocess.category_dictionary(features.with_trip_features(canonical(spark, sf_dir)))
+
+
+@registered
+def category_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation trips by the ids of their zones and route in a dictionary of the training trips; new values have none."""
+    rows = obt_rows(spark, sf_dir)
+    known = cut_lineage(preprocess.category_dictionary(splits.split(rows, "train", SETTINGS)))
+    named = with_ids(splits.split(rows, "validation", SETTINGS), known, ["pickup_location_id", "dropoff_location_id", "route_id"])
+    ids = [f"{name}_id" for name in ("pickup_location_id", "dropoff_location_id", "route_id")]
+    return named.groupBy(*ids).agg(F.count("*").alias("rows"))
+
+
 def _train(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.split(obt_rows(spark, sf_dir), "train", SETTINGS)
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faremill.contract import DEFAULT_FLEET, DISTANCE, SOURCE_DISTANCE, SOURCE_NAMES
+from faremill.contract import DEFAULT_FLEET, DISTANCE, FLEETS, SOURCE_DISTANCE, SOURCE_NAMES
 from faremill.functions.trip import fleet_name
 from faremill.settings import Settings
 
@@ -53,7 +53,11 @@ def canonical_trips(raw: Mapping[str, DataFrame], settings: Settings) -> DataFra
 
 
 def normalise_frame(df: DataFrame) -> DataFrame:
-    """Accept a frame under raw or canonical names and return it under canonical ones."""
+    """Accept a frame under raw or canonical names and return it under canonical ones.
+
+    Raw green files have a ``trip_type`` that is a dispatch code. A frame that has only their time columns is green,
+    except for rows that name a fleet there.
+    """
     df = df.toDF(*[name.lower() for name in df.columns])
     present = set(df.columns)
     renames: dict[str, str] = {}
@@ -64,5 +68,9 @@ def normalise_frame(df: DataFrame) -> DataFrame:
     if DISTANCE not in present and SOURCE_DISTANCE in present:
         out = out.withColumn(DISTANCE, F.col(SOURCE_DISTANCE))
     out = out.withColumnsRenamed(renames)
+    times = {name for name in present if name.endswith("pickup_datetime")}
     fleet = fleet_name(F.col("trip_type").cast("string")) if "trip_type" in present else F.lit(DEFAULT_FLEET)
+    if times == {"lpep_pickup_datetime"}:
+        named = F.lower(F.trim(F.col("trip_type").cast("string"))) if "trip_type" in present else F.lit(None).cast("string")
+        fleet = F.when(named.isin(*FLEETS), named).otherwise(F.lit("green"))
     return out.withColumn("trip_type", fleet)

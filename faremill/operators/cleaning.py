@@ -7,12 +7,14 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faremill.contract import DISTANCE, FLEETS, TARGET
+from faremill.contract import DISTANCE, SOURCE_DISTANCE, TARGET
 from faremill.functions import rules
 from faremill.functions.trip import boundaries_crossed, flag, number, speed_mph
 from faremill.operators.canonical import normalise_frame
 from faremill.settings import Settings
 
+_NUMBERS = (SOURCE_DISTANCE, "passenger_count", TARGET)
+
 
 def with_trip_diagnostics(df: DataFrame) -> DataFrame:
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
@@ -29,31 +31,28 @@ def staging(canonical: DataFrame, settings: Settings) -> DataFrame:
     return with_trip_diagnostics(canonical.filter(rules.all_hold(rules.STRICT, settings)))
 
 
-def _as_time(df: DataFrame, column: str) -> Column:
-    if dict(df.dtypes)[column] == "string":
-        return F.col(column).try_cast("timestamp_ntz")
-    return F.col(column)
+def _typed(df: DataFrame) -> rules.Read:
+    """Columns of a normalised frame as the rules want them, though they may have come as text."""
+    texts = {name for name, kind in df.dtypes if kind == "string"}
+
+    def read(name: str) -> Column:
+        column = F.col(DISTANCE if name == SOURCE_DISTANCE else name)
+        if name in _NUMBERS:
+            return number(column)
+        return column.try_cast("timestamp_ntz") if name in texts and name.endswith("_datetime") else column
+
+    return read
 
 
 def candidate_mask(
     df: DataFrame, first: date | None = None, last: date | None = None, positive_fare: bool = True
 ) -> Column:
-    """Lenient rule set on a normalised frame whose columns may still hold text."""
-    pickup, dropoff = _as_time(df, "pickup_datetime"), _as_time(df, "dropoff_datetime")
-    fare = number(F.col(TARGET))
-    keep = (
-        pickup.isNotNull()
-        & dropoff.isNotNull()
-        & (dropoff > pickup)
-        & (number(F.col(DISTANCE)) > 0)
-        & number(F.col("passenger_count")).between(*rules.PASSENGER_RANGE)
-        & F.col("trip_type").isin(*FLEETS)
-        & F.col("pickup_location_id").isNotNull()
-        & F.col("dropoff_location_id").isNotNull()
-        & ((fare > 0) if positive_fare else (fare >= 0))
-    )
+    """The lenient rules on a normalised frame whose columns may still hold text; true or false for every row."""
+    read = _typed(df)
+    profile = (*rules.CANDIDATE, rules.FARE_POSITIVE if positive_fare else rules.FARE_NOT_NEGATIVE)
+    keep = rules.all_hold(profile, None, read)
     if first is not None and last is not None:
-        keep = keep & rules.within_days(pickup, first, last)
+        keep = keep & rules.within_days(read("pickup_datetime"), first, last)
     return F.coalesce(keep, F.lit(False))
 
 

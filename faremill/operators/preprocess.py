@@ -7,14 +7,16 @@ into a persistable ``PipelineModel`` so that training, evaluation and streams sh
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from faremill.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from faremill.functions.trip import number
+from faremill.operators.dictionary import dense_ids
 from faremill.operators.features import with_trip_features
 from faremill.operators.quantiles import summaries
+from faremill.session import cut_lineage
 
 FEATURES = "features"
 #: The categories that tree learners take as nominal columns: those of a closed domain.
@@ -60,17 +62,26 @@ def category_counts(features: DataFrame) -> DataFrame:
 
 def category_statistics(features: DataFrame) -> DataFrame:
     """Per categorical feature: most frequent value (the smallest of a tie) and number of levels."""
-    return _with_labels(category_counts(features)).drop("labels")
+    return _most_frequent(category_counts(features))
 
 
-def _with_labels(counts: DataFrame) -> DataFrame:
-    # The values of a category are ids of a closed domain (fleets, zones, pairs of zones).
+def _most_frequent(counts: DataFrame) -> DataFrame:
     rank = F.struct(-F.col("n"), F.col("value").try_cast("bigint"), F.col("value"))
-    return counts.groupBy("column").agg(
-        F.min_by("value", rank).alias("most_frequent"),
-        F.count("*").alias("levels"),
-        F.array_sort(F.collect_list("value")).alias("labels"),
-    )
+    return counts.groupBy("column").agg(F.min_by("value", rank).alias("most_frequent"), F.count("*").alias("levels"))
+
+
+def category_dictionary(features: DataFrame) -> DataFrame:
+    """(column, value, n, id) of every categorical value; ids are dense within a column, in the order of the values."""
+    return dense_ids(category_counts(features))
+
+
+def _labels(counts: DataFrame, names: list[str]) -> dict[str, list[str]]:
+    """The sorted values of columns whose encoder holds them all: ids of a closed domain (fleets, zones, pairs of zones)."""
+    rows = counts.filter(F.col("column").isin(names)).select("column", "value").collect()
+    found: dict[str, list[str]] = {name: [] for name in names}
+    for row in rows:
+        found[row["column"]].append(row["value"])
+    return {name: sorted(values) for name, values in found.items()}
 
 
 def _fill_and_scale(numeric: list[Row], categories: list[Row]) -> SQLTransformer:
@@ -86,22 +97,24 @@ def _fill_and_scale(numeric: list[Row], categories: list[Row]) -> SQLTransformer
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def fit_preprocessor(features: DataFrame, nominal_levels: int = 0) -> PipelineModel:
+def fit_preprocessor(features: DataFrame, nominal_levels: int = 0, hashed_width: int = 0) -> PipelineModel:
     """Fit on a frame with the model features.
 
     Every category is one-hot encoded; a value not seen here becomes all zeros. Tree learners keep
     one bin per feature and row, so tens of thousands of one-hot columns do not suit them: with
     ``nominal_levels`` (the learner's ``maxBins``) the columns of ``NOMINAL`` are one nominal column each,
-    and the route is left out, being the pair of the two zones. The encoding never depends on the rows;
-    rows that do not suit it are an error.
+    and the route is left out, being the pair of the two zones. With ``hashed_width`` all categories share that many
+    slots, chosen by hash, and no list of values is gathered anywhere: for categories of unbounded many values. There, a value
+    not seen here falls into some slot. The encoding never depends on the rows; rows that do not suit it are an error.
     """
     numeric = numeric_statistics(features).collect()  # one row per feature
-    categories = _with_labels(category_counts(features)).collect()
+    counts = cut_lineage(category_counts(features))
+    categories = _most_frequent(counts).collect()  # one row per feature
     if not numeric or len(categories) < len(CATEGORICAL_FEATURES):
         raise ValueError("no rows to fit on")
-    labels = {row["column"]: row["labels"] for row in categories}
     nominal = list(NOMINAL) if nominal_levels else []
-    wide = [] if nominal_levels else list(CATEGORICAL_FEATURES)
+    wide = [] if nominal_levels or hashed_width else list(CATEGORICAL_FEATURES)
+    labels = _labels(counts, nominal + wide)
     for name in nominal:
         if len(labels[name]) >= nominal_levels:  # one level is for values not seen here
             raise ValueError(f"{name} has {len(labels[name])} levels, more than {nominal_levels - 1}")
@@ -124,12 +137,16 @@ def fit_preprocessor(features: DataFrame, nominal_levels: int = 0) -> PipelineMo
                 dropLast=True,
             )
         )
+    hashed = [f"{name}_known" for name in CATEGORICAL_FEATURES] if hashed_width and not nominal else []
+    if hashed:
+        stages.append(FeatureHasher(inputCols=hashed, outputCol="hashed", numFeatures=hashed_width, categoricalCols=hashed))
     stages.append(
         VectorAssembler(
             inputCols=[
                 *[f"{name}_scaled" for name in NUMERIC_FEATURES],
                 *[f"{name}_index" for name in nominal],
                 *[f"{name}_hot" for name in wide],
+                *(["hashed"] if hashed else []),
             ],
             outputCol=FEATURES,
         )

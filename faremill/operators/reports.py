@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faremill.contract import DISTANCE, LEAKAGE, MODEL_FEATURES, TARGET
+from faremill.contract import DISTANCE, TARGET, lists_of
 from faremill.functions import rules
 from faremill.functions.rules import Rule
 from faremill.operators.canonical import normalise_frame
@@ -384,10 +384,9 @@ def box_plot(df: DataFrame, column: str, by: str) -> DataFrame:
 def column_role(name: str) -> str:
     if name == TARGET:
         return "TARGET"
-    if name in LEAKAGE:
-        return "LEAKAGE"
-    if name in MODEL_FEATURES:
-        return "FEATURE"
+    for kind, role in (("leakage_columns", "LEAKAGE"), ("model_feature_columns", "FEATURE")):
+        if kind in lists_of(name):
+            return role
     if name in ("pickup_datetime", "dropoff_datetime", "trip_type"):
         return "CONTROL"
     return "RAW"

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -16,16 +15,11 @@ from pyspark.sql import types as T
 
 from faremill.contract import RAW_SCHEMAS
 from faremill.functions.trip import month_of_file
-from faremill.sources import audit
+from faremill.session import cut_lineage
+from faremill.sources import audit, catalogue
+from faremill.sources.catalogue import file_of
 from faremill.sources.tables import replace_partitions
 
-_NAME = r"([a-z]+_tripdata_\d{4}-\d{2}\.parquet)"
-
-
-def file_of(path: Column) -> Column:
-    return F.regexp_extract(path, _NAME, 1)
-
-
 def named_files(paths: DataFrame) -> DataFrame:
     """``path`` of part or whole files to ``file_name``, ``trip_type``, ``period_label``, ``local_path``."""
     named = paths.select(
@@ -67,18 +61,18 @@ def _fitted(df: DataFrame, schema: T.StructType) -> list[Column]:
     return out
 
 
-def read_trip_files(spark: SparkSession, paths: Sequence[str], fleet: str) -> DataFrame:
+def read_trip_files(spark: SparkSession, paths: Sequence[str], fleet: str, files: DataFrame | None = None) -> DataFrame:
     """Files of one fleet in the raw schema, with ``file_name``; any unreadable file is an error.
 
-    Published months differ in column case and in integer or floating types, which one scan cannot
-    reconcile, so the files are read in one scan per physical schema. The driver looks only at one
-    footer per month.
+    Published months differ in column case and in integer or floating types, and so may the part files of one month,
+    which one scan cannot reconcile: there is one scan for each physical schema in the catalogue ``files``
+    (``catalogue.footers`` of the paths, read here if it is not given).
     """
-    with ThreadPoolExecutor(8) as pool:
-        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema.json(), paths))
     by_schema: dict[str, list[str]] = defaultdict(list)
-    for path, schema in zip(paths, schemas):
-        by_schema[schema].append(path)
+    for row in catalogue.scans(catalogue.footers(spark, paths) if files is None else files).collect():
+        by_schema[row["schema"]].append(row["path"])
+    if not by_schema:
+        raise ValueError(f"no part files in {', '.join(paths)}")
     frames = []
     for same in by_schema.values():
         files = spark.read.option("ignoreCorruptFiles", "false").parquet(*same)
@@ -93,13 +87,16 @@ def load_listed(
     """Load whole files into the raw table and note them in the audit.
 
     A file fills exactly one month of the raw table, so loading it twice, or again after a job
-    that died before it wrote its audit, replaces the month instead of doubling it.
+    that died before it wrote its audit, replaces the month instead of doubling it. Trips are read once: the
+    rows of a file are those that its footers state.
     """
-    trips = read_trip_files(spark, [row["local_path"] for row in files], fleet)
+    paths = [row["local_path"] for row in files]
+    parts = cut_lineage(catalogue.footers(spark, paths))
+    trips = read_trip_files(spark, paths, fleet, parts)
     month = month_of_file(F.col("file_name")).alias("period_label")
     replace_partitions(trips.select("*", month).drop("file_name"), raw_path, ["period_label"])
 
-    counts = trips.groupBy("file_name").agg(F.count("*").alias("rows_loaded"))
+    counts = parts.groupBy("file_name").agg(F.sum("rows").alias("rows_loaded"))
     events = spark.createDataFrame(files).join(counts, "file_name", "left").select(
         "file_name",
         "trip_type",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -15,6 +15,16 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return spark.read.parquet(path)
 
 
+def replace_observed(df: DataFrame, path: str, partition_by: Sequence[str], metrics: Sequence[Column]) -> tuple[DataFrame, dict[str, object]]:
+    """``replace_table`` with aggregates over the rows, taken while they are written: no further read.
+
+    The rows must come without a shuffle or limit after the observed point, as each written row is then counted once,
+    whichever tasks are tried again.
+    """
+    seen = Observation()
+    return replace_table(df.observe(seen, *metrics), path, partition_by), seen.get
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Write the partitions that occur in ``df`` and leave the others: a repeated load changes nothing."""
     (
