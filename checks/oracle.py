@@ -90,7 +90,11 @@ SQL["split_spans"] = over_trips(
 FROM splits GROUP BY split"""
 )
 SQL["split_overlap"] = over_trips(
-    "SELECT 0::BIGINT AS in_several, count(*) FILTER (WHERE split IS NULL) AS in_none, count(*) AS rows FROM splits"
+    """SELECT count(*) FILTER (WHERE held > 1) AS in_several, count(*) FILTER (WHERE held = 0) AS in_none, count(*) AS rows
+FROM (SELECT (day BETWEEN DATE '1995-01-01' AND DATE '1999-12-31')::INTEGER
+           + (day BETWEEN DATE '2000-01-01' AND DATE '2000-12-31')::INTEGER
+           + (day BETWEEN DATE '2001-01-01' AND DATE '2001-12-31')::INTEGER AS held
+      FROM (SELECT CAST(pickup_datetime AS DATE) AS day FROM obt))"""
 )
 SQL["layer_counts"] = over_trips(
     """SELECT 'raw_' || trip_type AS layer, count(*) AS rows FROM canonical GROUP BY trip_type
