@@ -77,7 +77,7 @@ splits AS (
   FROM obt
 ),
 zones AS (
-  SELECT p_partkey + 1 AS location_id, p_brand AS borough, p_name AS zone, p_type AS service_zone FROM part
+  SELECT p_partkey + 1 AS location_id, p_brand AS borough, p_name AS zone, CASE p_type WHEN 'PROMO' THEN 'Airports' ELSE p_type END AS service_zone FROM part
 )
 """
 

@@ -109,13 +109,13 @@ def obt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The zone dimension: one zone per part; trips use the first 265 ids."""
+    """The zone dimension: one zone per part, promotional ones being airports; trips use the first 265 ids."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     return part.select(
         (F.col("p_partkey") + 1).cast("bigint").alias("location_id"),
         F.col("p_brand").alias("borough"),
         F.col("p_name").alias("zone"),
-        F.col("p_type").alias("service_zone"),
+        F.when(F.col("p_type") == "PROMO", "Airports").otherwise(F.col("p_type")).alias("service_zone"),
     )
 
 
