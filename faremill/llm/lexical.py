@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faremill.llm.common import bounded_batches
-from faremill.session import cut_lineage
+from faremill.session import LARGE_ROWS, cut_lineage
 
 SHARD_WORDS = 2_000_000
 #: Bytes of query terms that go to the shards at once.
@@ -90,7 +90,7 @@ def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
     kind = dict(rows.dtypes)["doc_id"]
     schema = f"n_docs long, n_terms long, doc_ids array<{kind}>, sizes array<bigint>, terms array<string>, held array<int>, docs binary, counts binary"
-    return cut_lineage(rows.mapInArrow(build, schema))
+    return cut_lineage(rows.mapInArrow(build, schema), **LARGE_ROWS)
 
 
 def asked_terms(queries: DataFrame, query_id: str = "item_id", text: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -206,3 +207,16 @@ def test_best_positions_stop_early_with_the_right_scores():
     assert depth < 1500
     assert (score == full[found]).all()
     assert sorted(score)[-10:] == sorted(full)[-10:]
+
+
+def test_a_row_group_of_the_index_holds_few_shards(spark, monkeypatch):
+    """One task makes many shards where its rows are many; neither the writer nor a reader may hold them all."""
+    monkeypatch.setattr(lexical, "SHARD_WORDS", 50_000)
+    rng = np.random.default_rng(18)
+    docs = [(i, " ".join(map(str, rng.integers(1 << 50, 1 << 60, 50_000)))) for i in range(24)]
+    built = lexical.index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1))
+    footers = [pq.ParquetFile(path.removeprefix("file://")).metadata for path in built.inputFiles()]
+    groups = [one.row_group(i) for one in footers for i in range(one.num_row_groups)]
+    assert sum(group.num_rows for group in groups) == 24
+    assert max(group.total_byte_size for group in groups) < 16 << 20
+    assert max(group.num_rows for group in groups) < 24
