@@ -1,6 +1,7 @@
 from dataclasses import replace
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -317,3 +318,62 @@ def test_request_checks(spark):
     assert errors[2] == ["trip_type", "pickup_location_id", "passenger_count", "estimated_distance"]
     assert errors[3] == [] and warnings[3] == ["same_zone_long", "long_trip"]
     assert requests.valid_requests(checked).count() == 2 and requests.rejected_requests(checked).count() == 2
+
+
+@pytest.mark.parametrize("name", ["xgboost", "lightgbm", "catboost"])
+def test_one_task_grows_the_trees_of_one_job_a_level(spark, monkeypatch, name):
+    df, _, _, _ = numbers(spark)
+    growth = learners.growth(small(name, rounds=7, depth=3, leaf=3, rate=0.3))
+    monkeypatch.setattr(boosters, "REFRESH", 3)
+    here = boosters.fit(df, growth, "y", "w")
+    more = boosters.fit(df, growth, "y", "w", before=here)
+    monkeypatch.setattr(boosters, "ONE_TASK_BYTES", 0)
+    assert boosters.fit(df, growth, "y", "w").parts == here.parts
+    assert boosters.fit(df, growth, "y", "w", before=here).parts == more.parts
+
+
+def test_histograms_do_not_grow_in_number_with_the_rows(spark, monkeypatch):
+    """Blocks of very many parts are dealt to a bounded number of tasks, and what goes to Python at once is bounded."""
+    given = []
+
+    def level(blocks, *rest):
+        given.append(blocks.rdd.getNumPartitions())
+        return real(blocks, *rest)
+
+    real = boosters._level
+    monkeypatch.setattr(boosters, "_level", level)
+    monkeypatch.setattr(boosters, "ONE_TASK_BYTES", 0)
+    monkeypatch.setattr(boosters, "TASKS_PER_CORE", 1)
+    size, opened = (f"spark.sql.files.{name}" for name in ("maxPartitionBytes", "openCostInBytes"))
+    before = spark.conf.get(size), spark.conf.get(opened)
+    spark.conf.set(size, 4096)
+    spark.conf.set(opened, 4096)
+    try:
+        boosters.fit(numbers(spark, n=3000, parts=40)[0], boosters.Growth(2, 2, 0.3), "y", "w")
+    finally:
+        spark.conf.set(size, before[0])
+        spark.conf.set(opened, before[1])
+    assert given and max(given) <= spark.sparkContext.defaultParallelism
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 1 << 30
+
+
+@pytest.mark.parametrize("name", ["ridge_regressor", "sgd_regressor", "xgboost"])
+def test_training_rows_are_a_table_and_no_cache(days, monkeypatch, name):
+    held = []
+    real = training.fit_preset
+    monkeypatch.setattr(training, "fit_preset", lambda df, *rest: held.append(df) or real(df, *rest))
+    training.train(days, small(name, rounds=2) if name == "xgboost" else learners.CATALOG[name])
+    (df,) = held
+    assert not df.storageLevel.useMemory and not df.storageLevel.useDisk
+    footers = [pq.ParquetFile(path.removeprefix("file://")).metadata for path in df.inputFiles()]
+    assert sum(one.num_rows for one in footers) == 30
+    assert all(b"ml_attr" not in value for one in footers for value in one.metadata.values())
+    assert "ml_attr" in df.schema["features"].metadata
+
+
+def test_adaboost_keeps_no_caches(spark, days, monkeypatch):
+    fitted = preprocess.fit_preprocessor(with_trip_features(days), 512)
+    vectors = preprocess.to_vectors(fitted, days, "fare_amount")
+    monkeypatch.setattr(type(vectors), "persist", lambda *_: pytest.fail("a cache for every tree"))
+    model = learners.fit_adaboost(vectors, small("adaboost", rounds=3, depth=1))
+    assert len(model.stages) > 2
